@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import naming as N, values as V
+from ..session import stage
 
 JOINER = " / "
 
@@ -57,6 +58,7 @@ def merge_protocols(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
               .when(~N.is_blank(F.col("filter_name")) & differs(F.col("filter_name"), F.col("_own.filter_name")),
                     F.lit("filter name conflict")))
     checked = checked.withColumn("_reason", reason)
+    checked = stage(checked, "protocol-lines")
     good = checked.where(F.col("_reason").isNull())
     merged = merge_texts(good, ["short_name"], "seq", ["long_name"])
     protocols = merged.join(filters, "short_name").select(
@@ -78,7 +80,8 @@ def accepted_p_lines(p_lines: DataFrame, protocols: DataFrame) -> DataFrame:
 def merge_fields(entries: DataFrame, known_from: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Field lines to merged fields and rejects.
 
-    ``known_from``: short_name, seq at which a protocol becomes known.
+    ``known_from``: short_name, seq at which a protocol becomes known. Checked
+    lines are staged: the merge below reads them several times.
     """
     typed = entries.withColumn("cls", V.class_of_tag(F.col("tag")))
     known = known_from.groupBy(F.col("short_name").alias("_p")).agg(F.min("seq").alias("_since"))
@@ -93,6 +96,7 @@ def merge_fields(entries: DataFrame, known_from: DataFrame) -> tuple[DataFrame,
         "_reason", F.coalesce(
             "_early", F.when(F.col("protocol") != F.col("_own.protocol"), F.lit("protocol conflict"))
             .when(F.col("cls") != F.col("_own.cls"), F.lit("type conflict"))))
+    checked = stage(checked, "field-lines")
     good = checked.where(F.col("_reason").isNull())
     texts = merge_texts(good, ["short_name"], "seq", ["long_name", "description", "base", "bitmask"])
     fields = texts.join(owner, F.col("short_name") == F.col("_n")).select(
@@ -107,6 +111,7 @@ def merge_labels(entries: DataFrame, fields: DataFrame) -> tuple[DataFrame, Data
     checked = entries.join(known, F.col("field") == F.col("_f"), "left").withColumn("_reason", (
         F.when((F.col("kind") != "T") & (F.col("lo").isNull() | F.col("hi").isNull()), F.lit("bad number"))
         .when(F.col("_f").isNull(), F.lit("unknown field"))))
+    checked = stage(checked, "label-lines")
     # Null-safe key for the true/false kind, which has no bounds.
     good = checked.where(F.col("_reason").isNull()).withColumn(
         "_bounds", F.concat_ws("..", F.col("lo").cast("string"), F.col("hi").cast("string")))

@@ -150,7 +150,7 @@ def _finish_level(df: DataFrame, schema: T.StructType, level: int, rules: Rename
         new("order_path", order_path),
         F.col("table"),
     )
-    leaf_table = F.concat(F.element_at("anc", -1), F.lit("._value")) if level else F.lit(None).cast("string")
+    leaf_table = F.concat(F.try_element_at("anc", F.lit(-1)), F.lit("._value")) if level else F.lit(None).cast("string")
     named = (F.when(F.col("branch"), N.combine(F.col("prefix"), F.col("local")))
              .when(N.is_blank(F.col("name")), leaf_table))
     df = df.withColumn("table", F.when(F.col("fresh"), named).otherwise(F.col("table")))

@@ -74,8 +74,8 @@ pchecked AS (SELECT plines.*, own, lower(filter_name) <> lower(own) AS bad FROM
 LINES_SQL = """
 clean AS (SELECT doc_id, source, regexp_replace(text, '["\\\\,]', ' ', 'g') AS body FROM documents),
 ls AS (SELECT doc_id, source, unnest(list_filter(string_split(body, chr(10)), lambda x: x <> '')) AS text,
-  generate_subscripts(list_filter(string_split(body, chr(10)), lambda x: x <> ''), 1) - 1 AS at FROM clean),
-cls AS (SELECT doc_id, source, at, text, instr(text, '%') AS p, instr(text, ':') AS c,
+  generate_subscripts(list_filter(string_split(body, chr(10)), lambda x: x <> ''), 1) - 1 AS pos FROM clean),
+cls AS (SELECT doc_id, source, pos, text, instr(text, '%') AS p, instr(text, ':') AS c,
   length(text) - length(replace(text, ':', '')) AS colons FROM ls),
 outc AS (SELECT *, CASE WHEN p = 0 AND c = 0 THEN 'Constant'
   WHEN c > 1 AND (p = 0 OR p > c) AND colons = 1 THEN 'Prefix'
@@ -257,8 +257,8 @@ ORACLES: dict[str, str] = {
           'url.' || regexp_extract(url, '{PAGE}', 1) || '.' || lower(regexp_extract(url, '{PAGE}', 3))
           ELSE 'page.link' END AS name,
         CASE WHEN url LIKE '%#top' THEN NULL WHEN {PAGE_HIT} THEN
-          regexp_extract(url, '{PAGE}', 2) || '|' || regexp_extract(url, '{PAGE}', 4) || '|' ELSE url END AS show,
-        show AS showname, show AS value FROM pages""",
+          regexp_extract(url, '{PAGE}', 2) || '|' || regexp_extract(url, '{PAGE}', 4) || '|' ELSE url END AS "show",
+        "show" AS showname, "show" AS value FROM pages""",
     "filter_tables": """SELECT 'order' AS "table", count(*) AS n FROM orders
         UNION ALL SELECT 'line_item', count(*) FROM lineitem UNION ALL SELECT 'line__value', count(*) FROM lineitem""",
     "filter_columns": """SELECT t AS "table", c AS "column", count(*) AS n FROM orders, (VALUES ('geninfo', 'num'), ('geninfo', 'timestamp'),
@@ -317,8 +317,8 @@ ORACLES: dict[str, str] = {
     "mine_names": f"SELECT doc_id, {NAMES} AS protocols FROM documents",
     "mine_definitions": """SELECT DISTINCT '/src/epan/dissectors/' || source || '.h' AS unit, 'PROTO_NAME' AS key, '"' || source || '"' AS value FROM documents
         UNION ALL SELECT '/src/epan/dissectors/packet-d' || doc_id || '.c', 'PROTO_NAME', '"doc' || doc_id || '"' FROM documents WHERE doc_id % 2 = 0""",
-    "mine_literals": f"WITH {LINES_SQL} SELECT doc_id, at::INT AS at, text FROM ls",
-    "mine_classify": f"WITH {LINES_SQL} SELECT doc_id, at::INT AS at, outcome, rule_text FROM ruled",
+    "mine_literals": f"WITH {LINES_SQL} SELECT doc_id, pos::INT AS at_, text FROM ls",
+    "mine_classify": f"WITH {LINES_SQL} SELECT doc_id, pos::INT AS at_, outcome, rule_text FROM ruled",
     "mine_dedupe": f"""WITH {LINES_SQL} SELECT DISTINCT lower(outcome) AS kind, {NAMES} AS protocol, rule_text AS text FROM ruled WHERE rule_text IS NOT NULL""",
     "mine_trace": f"WITH {LINES_SQL} SELECT outcome, count(*) AS n FROM ruled GROUP BY 1",
     "quality_counts": f"""WITH {PART_LABELS}, {PROTO_LINES}, r AS (

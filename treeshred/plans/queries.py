@@ -101,7 +101,7 @@ def node_attributes(spark, sf_dir):
     nodes = explode_nodes(O.header_pieces(spark, sf_dir), order_rules(spark))
     return nodes.where("protocol = 'order' and reject is null").select(
         "packet_no", F.array_join(F.col("path").cast("array<string>"), ".").alias("path"), "type", "name", "show",
-        F.col("branch").alias("is_branch"), F.element_at("anc", -1).alias("parent_row_table"))
+        F.col("branch").alias("is_branch"), F.try_element_at("anc", F.lit(-1)).alias("parent_row_table"))
 
 
 @query
@@ -783,13 +783,13 @@ def mine_definitions(spark, sf_dir):
 @query
 def mine_literals(spark, sf_dir):
     lits = G.literals(document_corpus(spark, sf_dir)).where("phase = 0")
-    return lits.select(short_source(F.col("unit")).alias("doc_id"), "at", "text")
+    return lits.select(short_source(F.col("unit")).alias("doc_id"), F.col("at").alias("at_"), "text")
 
 
 @query
 def mine_classify(spark, sf_dir):
     out = G.classify(G.literals(document_corpus(spark, sf_dir)).where("phase = 0"))
-    return out.select(short_source(F.col("unit")).alias("doc_id"), "at", "outcome", "rule_text")
+    return out.select(short_source(F.col("unit")).alias("doc_id"), F.col("at").alias("at_"), "outcome", "rule_text")
 
 
 @query

@@ -85,13 +85,16 @@ class Dictionaries:
 def build_dictionaries(protocols: DataFrame, fields: DataFrame, labels: DataFrame) -> Dictionaries:
     """Three line frames to merged dictionaries; bad lines are reported and skipped (H1)."""
     base, bad_base = merge_protocols(protocol_lines(protocols))
+    base = stage(base, "protocols")
     f, p = field_lines(fields)
     nameless = p.where(F.col("short_name").isNull())
-    extra, bad_extra = merge_protocols(accepted_p_lines(p.where(F.col("short_name").isNotNull()), base))
+    taken = stage(accepted_p_lines(p.where(F.col("short_name").isNotNull()), base), "protocol-extra")
+    extra, bad_extra = merge_protocols(taken)
     every = base.unionByName(extra)
     since = base.select("short_name", F.lit(0).cast("bigint").alias("seq")).unionByName(
-        accepted_p_lines(p.where(F.col("short_name").isNotNull()), base).select("short_name", "seq"))
+        taken.select("short_name", "seq"))
     merged, bad_fields = merge_fields(f, since)
+    merged = stage(merged, "fields")
     texts, bad_labels = merge_labels(label_lines(labels), merged)
     missing = nameless.select(F.lit("fields").alias("stage"), "file", F.col("line_no").alias("position"),
                               F.lit("missing short name").alias("reason"), F.lit("warning").alias("severity"))
@@ -102,5 +105,5 @@ def build_dictionaries(protocols: DataFrame, fields: DataFrame, labels: DataFram
 def read_dictionaries(spark: SparkSession, protocols: str, fields: str, labels: str) -> Dictionaries:
     """Read, merge and stage the three files, so that later joins see their exact sizes."""
     d = build_dictionaries(text_lines(spark, protocols), text_lines(spark, fields), text_lines(spark, labels))
-    return Dictionaries(stage(d.protocols, "protocols"), stage(d.fields, "fields"), stage(d.labels, "labels"),
+    return Dictionaries(stage(d.protocols, "protocols"), d.fields, stage(d.labels, "labels"),
                         stage(d.rejects, "dictionary-rejects"))
