@@ -1,4 +1,4 @@
-"""Tree explode: nested trees to a flat node table (A1 residuals, B1-B3, B5, B8, B16).
+"""Tree explode: nested trees to a flat node table.
 
 A packet may arrive whole or in pieces (``pieces`` contract below); nothing is
 gathered per packet. All levels run in one narrow stage: each step explodes
@@ -21,12 +21,11 @@ from .rename import RenameRules, rename_nodes
 CARRIED = ["src", "packet_no", "number", "ts", "gen_idx"]
 ATTRIBUTES = ["_name", "_showname", "_show", "_value", "_size", "_pos", "_hide"]
 OWN_TEXT = ["type", "name", "show", "showname", "value", "size", "pos", "hide", "local", "table", "reject"]
-RESIDUAL_DEPTH = 6  # levels added by one re-parse of XML text left below the read schema
 LEAF_NAMELESS, BRANCH_NAMELESS, BRANCH_NAMED = 0, 1, 2
 
 
 def node_type(depth: int, residual: bool = False) -> T.StructType:
-    """NODE struct with ``depth`` field levels; deeper nodes stay XML text if ``residual``."""
+    """NODE struct with ``depth`` field levels; what is deeper stays visible as text if ``residual``."""
     fields = [T.StructField(a, T.StringType()) for a in ATTRIBUTES]
     if depth > 0:
         fields.append(T.StructField("field", T.ArrayType(node_type(depth - 1, residual))))
@@ -58,27 +57,30 @@ def _bad(schema: T.StructType, get) -> Column:
     return out
 
 
-def _children(schema: T.StructType, node: Column, rounds: int) -> tuple[Column | None, T.StructType | None, int]:
-    """Child array of ``node``, its element type and the remaining re-parse rounds."""
+def _children(schema: T.StructType, node: Column) -> tuple[Column | None, T.StructType | None]:
+    """Child array of ``node`` and its element type; text elements lie below the read schema."""
     if "field" not in schema.names:
-        return None, None, rounds
+        return None, None
     element = schema["field"].dataType.elementType
-    if isinstance(element, T.StructType):
-        return node["field"], element, rounds
-    if rounds == 0:
-        return node["field"], None, 0
-    parsed = node_type(RESIDUAL_DEPTH, residual=True)
-    ddl = parsed.simpleString()
-    options = {"ignoreSurroundingSpaces": "false", "rowTag": "field"}
-    return F.transform(node["field"], lambda x: F.from_xml(x, ddl, options)), parsed, rounds - 1
+    return node["field"], element if isinstance(element, T.StructType) else None
 
 
-def explode_nodes(pieces: DataFrame, rules: RenameRules | None = None, rounds: int = 2) -> DataFrame:
+def deeper_than_read(node: Column, schema: T.StructType) -> Column:
+    """Does a tree go on below the levels that the read schema names?"""
+    kids, element = _children(schema, node)
+    if kids is None:
+        return F.lit(False)
+    if element is None:
+        return F.coalesce(F.size(kids), F.lit(0)) > 0
+    return F.coalesce(F.exists(kids, lambda x: deeper_than_read(x, element)), F.lit(False))
+
+
+def explode_nodes(pieces: DataFrame, rules: RenameRules | None = None) -> DataFrame:
     """One row per node of every tree, renamed and named.
 
-    Rejected nodes come back as rows with ``reject`` set and without subtree;
-    trees deeper than the read schema plus ``rounds`` re-parses are reported
-    the same way. Filter with ``reject is null`` for the good nodes.
+    Rejected nodes come back as rows with ``reject`` set and without subtree.
+    A node whose children lie below the read schema is reported the same way
+    (``captures.required_depth`` finds the depth that holds all of them).
     """
     schema = pieces.schema["proto"].dataType
     text = F.lit(None).cast("string")
@@ -96,18 +98,17 @@ def explode_nodes(pieces: DataFrame, rules: RenameRules | None = None, rounds: i
     )
     level = 0
     while True:
-        df, child = _finish_level(df, schema, level, rules, rounds)
-        if child is None:
+        df, schema = _finish_level(df, schema, level, rules)
+        if schema is None:
             break
-        schema, rounds = child
         df = _descend(df, level)
         level += 1
     return df.drop("kids", "fresh", "shift", "p_order")
 
 
-def _finish_level(df: DataFrame, schema: T.StructType, level: int, rules: RenameRules | None, rounds: int):
+def _finish_level(df: DataFrame, schema: T.StructType, level: int, rules: RenameRules | None):
     """Rename and name the rows made last, and expose their children as ``kids``."""
-    kids, child_schema, left = _children(schema, F.col("k"), rounds)
+    kids, child_schema = _children(schema, F.col("k"))
     fresh = F.col("fresh")
     if kids is None:
         survivors = F.lit(0)
@@ -154,7 +155,7 @@ def _finish_level(df: DataFrame, schema: T.StructType, level: int, rules: Rename
     named = (F.when(F.col("branch"), N.combine(F.col("prefix"), F.col("local")))
              .when(N.is_blank(F.col("name")), leaf_table))
     df = df.withColumn("table", F.when(F.col("fresh"), named).otherwise(F.col("table")))
-    return df, None if child_schema is None else (child_schema, left)
+    return df, child_schema
 
 
 def _descend(df: DataFrame, level: int) -> DataFrame:

@@ -56,9 +56,7 @@ def whole(spark: SparkSession, sf_dir: str, filters: FilterRules | None = None)
 
 def staged_whole(spark: SparkSession, sf_dir: str, filters: FilterRules | None = None) -> tuple[DataFrame, Shredder]:
     """All rows of all tables with parents, staged because several steps read them."""
-    job = whole(spark, sf_dir, filters)
-    nodes = stage(job.nodes(), "nodes")
-    job._memo["nodes"] = nodes
+    job = whole(spark, sf_dir, filters).staged()
     rows = S.attach_parents(job.rows(), job.layers(), filters)
     return stage(S.resolve_columns(rows), "rows", ["table"]), job
 
@@ -715,8 +713,7 @@ def table_sink(spark, sf_dir):
     sink = new_sink(spark)
     pieces = O.order_pieces(spark, sf_dir)
     for part in (F.col("packet_no") % 2 == 0, F.col("packet_no") % 2 == 1):
-        job = shredder(spark, pieces.where(part))
-        job._memo["nodes"] = stage(job.nodes(), "nodes")
+        job = shredder(spark, pieces.where(part)).staged()
         sink.write(job.rows(), job.layers())
     item = spark.table(sink.name("line_item"))
     files = spark.table(sink.name("sourcefile"))

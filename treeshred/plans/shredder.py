@@ -11,6 +11,7 @@ from ..operators.filters import FilterRules
 from ..operators.rename import RenameRules
 from ..operators.trees import explode_nodes
 from ..operators.typing import Labels, label_values, prepare_labels, type_nodes
+from ..session import stage
 
 
 @dataclass
@@ -22,7 +23,6 @@ class Shredder:
     filters: FilterRules | None = None
     capture_tz: str = "UTC"
     keep_binary: bool = False
-    rounds: int = 2
     _memo: dict = field(default_factory=dict)
 
     def nodes(self) -> DataFrame:
@@ -30,10 +30,15 @@ class Shredder:
         if "nodes" not in self._memo:
             if isinstance(self.labels, DataFrame):
                 self.labels = prepare_labels(self.labels)
-            nodes = explode_nodes(self.pieces, self.rules, self.rounds)
+            nodes = explode_nodes(self.pieces, self.rules)
             self._memo["nodes"] = label_values(type_nodes(nodes, self.fields, self.capture_tz), self.labels)
         return self._memo["nodes"]
 
+    def staged(self) -> "Shredder":
+        """Keep typed nodes in the staging folder: for runs that write many tables from one scan."""
+        self._memo["nodes"] = stage(self.nodes(), "nodes")
+        return self
+
     def cells(self) -> DataFrame:
         return S.row_cells(self.nodes(), self.filters, self.keep_binary)
 

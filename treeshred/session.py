@@ -14,8 +14,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Explodes and typing cost far more than the bytes they read: keep small exchanges parallel.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128KB",
-    # Wide typing projections make huge methods that the JVM never compiles; run those unfused.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Row assembly aggregates into lists: stay hash based for more keys before sorting.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
 }
@@ -59,3 +57,14 @@ def stage(df: DataFrame, label: str, sort_by: list[str] | None = None) -> DataFr
         df = df.sortWithinPartitions(*sort_by)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Give an explode-heavy job enough tasks when its input has fewer splits than the cluster has cores.
+
+    One input row becomes dozens of nodes, so a few large splits would run on
+    a few cores. Inputs that already have a split per core are left alone and
+    are not shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan._jdf.rdd().getNumPartitions() >= cores else scan.repartition(cores)

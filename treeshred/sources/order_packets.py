@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.numbering import number_within
 from ..operators.trees import node_type
+from ..session import spread
 
 LEAF, BRANCH, LAYER = node_type(0), node_type(1), node_type(2)
 SHIFT = 8  # positions reserved per line item
@@ -106,7 +107,7 @@ def order_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def header_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, customer = read(spark, sf_dir, "orders"), read(spark, sf_dir, "customer")
+    orders, customer = spread(read(spark, sf_dir, "orders")), read(spark, sf_dir, "customer")
     joined = orders.join(customer.select("c_custkey", "c_name", "c_mktsegment"),
                          orders.o_custkey == F.col("c_custkey"), "left")
     return joined.select(*_carried(), F.posexplode(header_layers(joined)).alias("proto_idx", "proto")).select(
