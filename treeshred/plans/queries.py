@@ -509,7 +509,7 @@ DENY_ORDER = FilterRules(tables=[{"action": "deny", "tableName": "^(order|line)$
 @query
 def filter_promote_children(spark, sf_dir):
     """With two layers denied, their children hang below the nearest kept layer."""
-    job = whole(spark, sf_dir, DENY_ORDER)
+    job = whole(spark, sf_dir, DENY_ORDER).staged()
     cells = job.cells()
     rows = cells.select("src", "packet_no", "path", "table", "tables").distinct()
     linked = S.attach_parents(rows, job.layers(), DENY_ORDER)
@@ -635,13 +635,13 @@ def dense_ids(spark, sf_dir):
     job = lines(spark, sf_dir)
     rows = job.cells().where("table = 'line_item'").select(
         "src", "packet_no", "path", "order_path", "table").distinct()
-    items = K.dense_ids(rows)
+    items = K.dense_ids(stage(rows, "items"))
     return items.select("packet_no", F.element_at("path", -1).alias("position"), "id")
 
 
 @query
 def key_relationships(spark, sf_dir):
-    job = whole(spark, sf_dir)
+    job = whole(spark, sf_dir).staged()
     rows = job.cells().select("src", "packet_no", "path", "table", "tables").distinct()
     return K.relationships(S.attach_parents(rows, job.layers()))
 

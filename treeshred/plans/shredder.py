@@ -51,14 +51,15 @@ class Shredder:
         if table in (None, "geninfo"):
             rows = S.add_source_path(rows, self.filters)
         if table is None or table.endswith(("_value", "_group")):
-            rows = S.number_siblings(rows)
+            # Numbering reads its input twice; the trees below are exploded once.
+            rows = S.number_siblings(stage(rows, "assembled"))
         return rows
 
     def layers(self) -> DataFrame:
         """Layer chain: the nearest kept layer before every non-empty layer."""
         marks = S.row_cells(self.nodes(), None, keep_binary=True).where(F.size("path") == 1)
         layers = marks.select("src", "packet_no", F.get("path", F.lit(0)).alias("at"), "table").distinct()
-        return S.layer_chain(layers, self.filters)
+        return S.layer_chain(stage(layers, "layers"), self.filters)
 
     def table(self, name: str, columns: dict[str, str], parents: list[str] | None = None,
               chain: bool = True, profile: str = "text") -> DataFrame:
