@@ -328,4 +328,24 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'fields', 'warning', count(*) FROM checked WHERE reason IS NOT NULL
         UNION ALL SELECT 'protocols', 'warning', count(*) FROM pchecked WHERE bad)
         SELECT * FROM r WHERE n > 0""",
+    "discovered_schema": """WITH o AS (SELECT count(*) AS n, max(o_orderkey) AS k, max(floor(o_totalprice)) AS len, max(o_custkey) AS c FROM orders),
+        l AS (SELECT count(*) AS n, count(DISTINCT l_orderkey) AS d, count(*) FILTER (l_discount > 0.05) AS g FROM lineitem)
+        SELECT t AS "table", c AS "column", kind, filled FROM (
+          SELECT unnest([
+            {'t': 'geninfo', 'c': 'file', 'kind': 'String16', 'filled': o.n}, {'t': 'geninfo', 'c': 'timestamp', 'kind': 'DateTime', 'filled': o.n},
+            {'t': 'geninfo', 'c': 'num', 'kind': CASE WHEN o.k > 65535 THEN 'Int64' ELSE 'Int32' END, 'filled': o.n},
+            {'t': 'geninfo', 'c': 'len', 'kind': CASE WHEN o.len > 65535 THEN 'Int64' ELSE 'Int32' END, 'filled': o.n},
+            {'t': 'order', 'c': 'order_key', 'kind': CASE WHEN o.k > 65535 THEN 'Int64' ELSE 'Int32' END, 'filled': o.n},
+            {'t': 'order', 'c': 'order_status', 'kind': 'String16', 'filled': o.n}, {'t': 'order', 'c': 'order_priority', 'kind': 'String16', 'filled': o.n},
+            {'t': 'order', 'c': 'order_total', 'kind': 'Float', 'filled': o.n}, {'t': 'order', 'c': 'order_date', 'kind': 'DateTime', 'filled': o.n},
+            {'t': 'order_customer', 'c': 'customer_key', 'kind': CASE WHEN o.c > 65535 THEN 'Int64' ELSE 'Int32' END, 'filled': o.n},
+            {'t': 'order_customer', 'c': 'customer_name', 'kind': 'String16', 'filled': o.n},
+            {'t': 'order_customer', 'c': 'customer_segment', 'kind': 'String16', 'filled': o.n},
+            {'t': 'line', 'c': 'line_part', 'kind': 'String16', 'filled': l.d}, {'t': 'line_item', 'c': '_value', 'kind': 'Int32', 'filled': l.n},
+            {'t': 'line_item', 'c': '_string', 'kind': 'String16', 'filled': l.n}, {'t': 'line_item', 'c': 'line_open', 'kind': 'Boolean', 'filled': l.n},
+            {'t': 'line_item', 'c': 'line_open_string', 'kind': 'String16', 'filled': l.n}, {'t': 'line_item', 'c': 'line_price', 'kind': 'Float', 'filled': l.n},
+            {'t': 'line_item', 'c': 'line_quantity', 'kind': 'Float', 'filled': l.n}, {'t': 'line_item', 'c': 'line_size', 'kind': 'Int32', 'filled': l.n},
+            {'t': 'line__value', 'c': '_index', 'kind': 'Int32', 'filled': l.n}, {'t': 'line__value', 'c': '_value', 'kind': 'String16', 'filled': l.n},
+            {'t': 'line__group', 'c': '_index', 'kind': 'Int32', 'filled': l.g}, {'t': 'line__group', 'c': 'line_discount', 'kind': 'Float', 'filled': l.g}
+          ], recursive := true) FROM o, l)""",
 }
