@@ -35,15 +35,31 @@ def build_session(app: str = "treeshred", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def staging_root(spark: SparkSession) -> str:
-    """Shared folder named by the cluster; a temporary one only where none is set."""
+    """Shared folder that the cluster names in ``spark.checkpoint.dir``.
+
+    Where it is unset, a local session gets one temporary folder per
+    application and any other master is an error: executors would not see
+    files of a machine-local folder. The caller's settings are not changed.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="treeshred-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context = spark.sparkContext
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = _LOCAL_ROOTS.setdefault(context.applicationId, tempfile.mkdtemp(prefix="treeshred-"))
     return root.rstrip("/")
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder through Spark's own file system layer."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def stage(df: DataFrame, label: str, sort_by: list[str] | None = None) -> DataFrame:
     """Write a frame that several consumers read, and read it back.
 
