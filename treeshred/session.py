@@ -50,7 +50,9 @@ def staging_root(spark: SparkSession) -> str:
         context = spark.sparkContext
         if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        root = _LOCAL_ROOTS.setdefault(context.applicationId, tempfile.mkdtemp(prefix="treeshred-"))
+        if context.applicationId not in _LOCAL_ROOTS:
+            _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="treeshred-")
+        root = _LOCAL_ROOTS[context.applicationId]
     return root.rstrip("/")
 
 
