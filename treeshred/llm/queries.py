@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from treeshred.llm import bpe, exact_dedup, mixing, near_dup, secrets, token_files
+from treeshred.llm import bpe, exact_dedup, language, mixing, near_dup, quality, secrets, token_files
 
 QUERIES = {
+    "op1_language": language.op1_language,
     "op3_bpe": bpe.op3_bpe,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_token_files": token_files.op5_token_files,
+    "op6_quality": quality.op6_quality,
     "op8_near_dup": near_dup.op8_near_dup,
     "op9_secrets": secrets.op9_secrets,
     "op10_mixing": mixing.op10_mixing,
