@@ -4,17 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from treeshred.llm.mixing import mix
+from treeshred.llm import bpe, exact_dedup, mixing, near_dup, quality
 from treeshred.session import stage
 
-STAGES = [("mix", lambda spark, docs, sf_dir: mix(docs))]
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    return quality.keep_good(docs)
+
+
+def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document for each text."""
+    return exact_dedup.drop_copies(docs)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: shingles of five words, similarity 0.8."""
+    return near_dup.drop_near_duplicates(docs)
+
+
+def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.mix(docs)
+
+
+def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, and whether decoding them gives its text."""
+    return bpe.encode(docs)
+
+
+STAGES = [("quality classifier", quality_stage), ("exact dedup", exact_stage), ("near dedup", near_stage),
+          ("mix sources", mix_stage), ("encode", encode_stage)]
+
+# The classifier's training and the near-duplicate components are not SQL: tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to documents; each one's rows are written and read again."""
+    """Apply the stages to documents; what each one keeps is written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -119,21 +119,24 @@ def _encoded(batches: Iterator[pa.RecordBatch], file, packed: bytes):
 
 
 def encode(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
-    """Rows of ``docs`` as doc_id, ids (array of int), n_tokens, for whole texts.
+    """Rows of ``docs`` as doc_id, ids (array of int), n_tokens, restored, for whole texts.
 
-    Null texts count as empty and have no ids. Strings of special tokens in a text become
+    ``restored`` tells that decoding the ids gave the text again. Null texts count as empty and have no ids. Strings of special tokens in a text become
     their id. Rows are independent: repeated rows and null ids pass through, other columns are dropped, no rows give none.
     """
     file, packed = shared_file(docs.sparkSession, tokenizer), packed_classes()
 
     def run(batches):
-        for batch, ids, bounds, _ in _encoded(batches, file, packed):
+        for batch, ids, bounds, table in _encoded(batches, file, packed):
+            listed = ids.tolist()
+            same = [table.decode(listed[a:b]) == (t or "") for a, b, t in zip(bounds, bounds[1:], text_column(batch))]
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(np.diff(bounds), pa.int64())],
-                                             names=["doc_id", "ids", "n_tokens"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), lists, pa.array(np.diff(bounds), pa.int64()), pa.array(same, pa.bool_())],
+                names=["doc_id", "ids", "n_tokens", "restored"])
 
     return plain(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(
-        run, "doc_id long, ids array<int>, n_tokens long")
+        run, "doc_id long, ids array<int>, n_tokens long, restored boolean")
 
 
 def decode(encoded: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:

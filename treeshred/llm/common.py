@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,3 +53,15 @@ def word_count(text: Column) -> Column:
 
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+@contextmanager
+def rows_per_batch(spark: SparkSession, n: int):
+    """Smaller Arrow batches for what is written meanwhile, where a row holds several whole texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -10,26 +10,30 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeshred.llm.common import fold, plain, read_documents, text_column
+from treeshred.llm.common import fold, plain, read_documents, rows_per_batch, text_column
 from treeshred.llm.components import components
 from treeshred.session import stage
 
 WORDS = 5
 PERCENT = 80
+# A coordinate is the smallest hashes under HASHES functions together: unrelated texts, which share some common shingles,
+# hardly ever agree in one. A pair of similarity 0.8 agrees in 33 of 64 on average, in fewer than 15 once in 200,000 times.
 COORDINATES = 64
-# A pair of similarity 0.8 agrees in 51 of 64 coordinates on average and in fewer than 38 once in 20,000 times.
-MATCHES = 38
+HASHES = 3
+MATCHES = 15
 MAX_CACHED_WORDS = 400_000
-# Leader rounds go on while the pairs still open outnumber the postings by this factor.
-OPEN_PER_POSTING = 2
+# Leader rounds go on while the pairs still open outnumber the classes by this factor.
+OPEN_PER_CLASS = 2
 MAX_LEADER_ROUNDS = 6
 # A coordinate value with more open pairs is joined on two values at once.
 HEAVY_PAIRS = 20_000
 BROADCAST_ROWS = 500_000
+# Rows with two texts that go to Python at a time.
+TEXT_PAIRS = 256
 
 _SKETCH = "doc_id long, th long, n long, h1 long, h2 long, sig array<long>"
-_MULTIPLY = np.random.Generator(np.random.PCG64(8)).integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * 2 + 1
-_ADD = np.random.Generator(np.random.PCG64(80)).integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
+_MULTIPLY = np.random.Generator(np.random.PCG64(8)).integers(1, 1 << 31, COORDINATES * HASHES).astype(np.uint32) * np.uint32(2) + np.uint32(1)
+_ADD = np.random.Generator(np.random.PCG64(80)).integers(0, 1 << 32, COORDINATES * HASHES).astype(np.uint32)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -59,13 +63,20 @@ def shingle_hashes(text: str | None, words: int, known: dict[bytes, int]) -> np.
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """Smallest hash under each coordinate's function; the low bits hold the coordinate, so values of two coordinates never meet."""
-    low = np.full(COORDINATES, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(shingles), 4096):
-        part = shingles[at:at + 4096]
-        for k in range(COORDINATES):
-            low[k] = min(low[k], (part * _MULTIPLY[k] + _ADD[k]).min())
-    return (low & ~np.uint64(COORDINATES - 1)) | np.arange(COORDINATES, dtype=np.uint64)
+    """Coordinates of a set: smallest hashes, HASHES of them mixed into one value, the coordinate in its low bits.
+
+    So values of two coordinates never meet.
+    """
+    low = np.full(COORDINATES * HASHES, 0xFFFFFFFF, np.uint32)
+    short = (shingles >> np.uint64(32)).astype(np.uint32)
+    for at in range(0, len(short), 256):
+        hashed = short[at:at + 256, None] * _MULTIPLY
+        hashed += _ADD
+        np.minimum(low, hashed.min(axis=0), out=low)
+    value = np.zeros(COORDINATES, np.uint64)
+    for part in low.reshape(HASHES, COORDINATES).astype(np.uint64):
+        value = _mixed(value * np.uint64(0x9E3779B97F4A7C15) + part + np.uint64(1))
+    return (value & ~np.uint64(COORDINATES - 1)) | np.arange(COORDINATES, dtype=np.uint64)
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
@@ -141,7 +152,8 @@ def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, p
                 keep.append(100 * shared >= percent * (len(mine) + len(held) - shared))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
 
-    return stage(both.select("a", "b", "text_a", "text_b").mapInArrow(similar, "a long, b long"), f"{label}-links")
+    with rows_per_batch(close.sparkSession, TEXT_PAIRS):
+        return stage(both.select("a", "b", "text_a", "text_b").mapInArrow(similar, "a long, b long"), f"{label}-links")
 
 
 def shingles(text: str | None, words: int) -> frozenset:
@@ -176,7 +188,7 @@ def class_links(classes: DataFrame, docs: DataFrame, words: int, percent: int) -
     held = stage(prefixes(classes), "near-prefixes")
     postings = held.select("rid", "n", "reach", F.explode(F.slice("values", 1, F.col("base"))).alias("value")).withColumn(
         "comp", F.col("rid"))
-    found, tested = [], None
+    found, tested, n_classes = [], None, classes.count()
     for step in range(MAX_LEADER_ROUNDS):
         # The first leader is the class that shares most with others, later ones are any.
         order = F.col("reach") if step == 0 else F.xxhash64("rid", "value", F.lit(step))
@@ -185,7 +197,7 @@ def class_links(classes: DataFrame, docs: DataFrame, words: int, percent: int) -
         if open_pairs.isEmpty():
             break
         total = open_pairs.agg(F.sum("n_open")).first()[0]
-        if step and total <= OPEN_PER_POSTING * postings.count():
+        if step and total <= OPEN_PER_CLASS * n_classes:
             break
         live = postings.join(open_pairs.select("value"), "value", "left_semi")
         leaders = stage(live.groupBy("value").agg(F.max(F.struct(order.alias("o"), "rid", "n", "comp")).alias("top")),
@@ -273,6 +285,26 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         F.when(alone, F.struct("doc_id", "th")).otherwise(F.col("winner")).alias("winner"))
 
 
+def drop_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """Rows of ``docs`` without near-duplicates: one document of each component stays, columns unchanged.
+
+    It is the component's smallest doc_id; where that id has several texts the one with the smallest digest,
+    and of rows that repeat both the one whose columns have the largest digest. Texts without words stay. Only keys of rows that go are joined. Extra columns of any
+    name are kept, as the row is packed in one column.
+    """
+    found = near_duplicates(docs, words, percent).groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("times"), F.first("winner").alias("w"))
+    goes = ~(F.col("doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("th") == F.col("w.th")))
+    marks = stage(found.select(F.col("doc_id").alias("m_id"), F.col("th").alias("m_th"), "times", goes.alias("goes"))
+                  .where("goes OR times > 1"), "near-marks")
+    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("th"),
+                         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept_row"))
+    marked = packed.join(marks, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("th") == F.col("m_th")), "left")
+    single = marked.where(F.col("m_th").isNull()).select("kept_row.*")
+    repeated = (marked.where("NOT goes").groupBy("doc_id", "th")
+                .agg(F.max_by("kept_row", F.xxhash64(F.to_json("kept_row"))).alias("kept_row")))
+    return single.unionAll(repeated.select("kept_row.*"))
+
+
 def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicates on two-word shingles."""
     found = near_duplicates(read_documents(spark, sf_dir), words=2)

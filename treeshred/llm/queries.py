@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from treeshred.llm import bpe, exact_dedup, language, mixing, near_dup, quality, secrets, token_files
+from treeshred.llm import (bpe, exact_dedup, language, licenses, mixing, near_dup, quality, quality_rules, secrets,
+                           token_files)
 
 QUERIES = {
     "op1_language": language.op1_language,
+    "op2_quality_rules": quality_rules.op2_quality_rules,
     "op3_bpe": bpe.op3_bpe,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_token_files": token_files.op5_token_files,
     "op6_quality": quality.op6_quality,
+    "op7_licenses": licenses.op7_licenses,
     "op8_near_dup": near_dup.op8_near_dup,
     "op9_secrets": secrets.op9_secrets,
     "op10_mixing": mixing.op10_mixing,
