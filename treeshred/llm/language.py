@@ -95,17 +95,21 @@ class LanguageModel:
         for name in self.languages:
             line = [symbol.get(c, UNKNOWN) if c else GAP for c in coded[name]][:TRAIN_CHARS]
             go = suffix_automaton(line)
-            at = np.full((len(go), self.width), -1, np.int64)
+            # The last state stands behind a character that the language doesn't have: whatever follows is a new phrase.
+            dead = len(go)
+            at = np.full((dead + 1, self.width), -1, np.int64)
             for state, edges in enumerate(go):
                 at[state, list(edges)] = list(edges.values())
             at[:, UNKNOWN] = -1
-            start = np.where(at[0] < 0, 0, at[0])
+            start = np.where(at[0] < 0, dead, at[0])
             step = np.where(at < 0, 2 * (base + start * self.width) + 1, 2 * (base + at * self.width))
-            step[:, self.pad] = 2 * (base + np.arange(len(go)) * self.width)
+            # At the root a phrase has just begun.
+            step[0] &= ~1
+            step[:, self.pad] = 2 * (base + np.arange(dead + 1) * self.width)
             rows.append(step.astype(np.int32).ravel())
             self.roots.append(base)
             self.bits.append(math.log2(len(line) + 2))
-            base += len(go) * self.width
+            base += (dead + 1) * self.width
         self.table = np.concatenate(rows) if rows else np.zeros(0, np.int32)
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
