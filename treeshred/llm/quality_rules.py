@@ -166,3 +166,56 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+_COMMON_ROWS = ", ".join(f"('{lang}', {k}, '{word}')" for lang, words in COMMON.items() for k, word in enumerate(words))
+
+OP2_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t FROM documents),
+ws AS (SELECT rid, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+win AS (SELECT rid, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS win
+        FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM ws)),
+again AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, win) AS n FROM win) WHERE n > 1),
+cover AS (SELECT rid, count(DISTINCT i + j) AS n FROM again, (VALUES (0), (1), (2)) AS v(j) GROUP BY rid),
+lines AS (SELECT rid, count(*) - count(DISTINCT line) AS n FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM d)
+          WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid),
+counts AS (
+  SELECT d.rid, d.doc_id, d.lang, length(t) AS n_chars, CAST(len(ws.ws) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         coalesce(lines.n, 0) AS n_dup_lines, coalesce(cover.n, 0) AS n_repeat_words,
+         length(t) - length(regexp_replace(t, '\p{{Lu}}', '', 'g')) AS n_upper,
+         length(t) - length(regexp_replace(t, '[0-9]', '', 'g')) AS n_digits,
+         length(t) - length(regexp_replace(t, '[.,;:!?''"()\-]', '', 'g')) AS n_marks
+  FROM d JOIN ws USING (rid) LEFT JOIN lines USING (rid) LEFT JOIN cover USING (rid)),
+base AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed,
+                n_chars - word_chars AS n_space FROM counts),
+common AS (SELECT * FROM (VALUES {_COMMON_ROWS}) AS v(cl, k, word)),
+langs AS (SELECT DISTINCT cl FROM common),
+cand AS (SELECT rid, cl, lang, base_failed, n_words FROM base, langs
+         WHERE lang = cl OR lang IS NULL OR lang NOT IN (SELECT cl FROM langs)),
+class AS (
+  SELECT rid, k, c FROM (SELECT rid, unnest([n_upper, n_digits, n_marks, n_symbols, n_space,
+    n_chars - n_space - n_symbols - n_upper - n_digits - n_marks]) AS c, unnest([0, 1, 2, 3, 4, 5]) AS k FROM base)),
+found AS (SELECT rid, word, count(*) AS c FROM (SELECT rid, unnest(ws) AS word FROM ws) GROUP BY ALL),
+hit AS (SELECT cand.rid, cand.cl, k, coalesce(c, 0) AS c FROM cand JOIN common USING (cl)
+        LEFT JOIN found ON found.rid = cand.rid AND found.word = common.word),
+wordh AS (SELECT rid, cl, k, c FROM hit UNION ALL
+          SELECT cand.rid, cand.cl, 99, any_value(n_words) - sum(c) FROM cand JOIN hit ON cand.rid = hit.rid AND cand.cl = hit.cl GROUP BY ALL),
+cref AS (SELECT lang AS cl, k, sum(c) / sum(sum(c)) OVER (PARTITION BY lang) AS q
+         FROM class JOIN base USING (rid) WHERE NOT base_failed AND lang IN (SELECT cl FROM langs) GROUP BY lang, k),
+wref AS (SELECT cl, k, sum(c) / sum(sum(c)) OVER (PARTITION BY cl) AS q
+         FROM wordh JOIN base USING (rid) WHERE NOT base_failed AND lang = cl GROUP BY cl, k),
+cp AS (SELECT cand.rid, cand.cl, q, c / nullif(sum(c) OVER (PARTITION BY cand.rid, cand.cl), 0) AS p
+       FROM cand JOIN class ON class.rid = cand.rid JOIN cref ON cref.cl = cand.cl AND cref.k = class.k),
+wp AS (SELECT rid, cl, q, c / nullif(sum(c) OVER (PARTITION BY rid, cl), 0) AS p FROM wordh JOIN wref USING (cl, k)),
+dist AS (
+  SELECT kind, rid, cl, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+    + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2, 0)) AS v
+  FROM (SELECT 'c' AS kind, * FROM cp UNION ALL SELECT 'w', * FROM wp) WHERE p IS NOT NULL GROUP BY ALL),
+near AS (SELECT rid, min(v) FILTER (kind = 'c') AS c, min(v) FILTER (kind = 'w') AS w FROM dist GROUP BY rid)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND (n_chars < {MIN_CHARS} OR coalesce(near.c <= {MAX_CLASS_DISTANCE}, true))
+         AND (n_words < {MIN_COMMON_WORDS} OR coalesce(near.w <= {MAX_WORD_DISTANCE}, true)) AS kept
+FROM base LEFT JOIN near USING (rid)
+"""
