@@ -78,6 +78,9 @@ SPELLINGS = {
 }
 
 
+OWNER_LINE = r"^[^\p{L}\p{N}\n©(]*(?:©|\(c\)|copyright *(?:©|\(c\)|[0-9<]))[^\n]*$"
+
+
 def canonical_lines(rows: DataFrame) -> DataFrame:
     """Replace ``text`` by ``lines``: small letters, no punctuation, one spelling, single spaces, no copyright and no empty lines.
 
@@ -85,8 +88,7 @@ def canonical_lines(rows: DataFrame) -> DataFrame:
     null text has no lines.
     """
     # The signs count as punctuation afterwards.
-    owner = r"(?m)^[^\p{L}\p{N}\n©(]*(?:©|\(c\)|copyright\b(?= *(?:©|\(c\)|[0-9<]))).*$"
-    unowned = F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), owner, "")
+    unowned = F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), f"(?md){OWNER_LINE}", "")
     rows = rows.withColumn("text", F.regexp_replace(unowned, r"[^\p{L}\p{N}\n]+", " "))
     # Looking for the letters is much cheaper than the patterns, and few texts have any.
     spelled, has_any = F.col("text"), F.lit(False)
@@ -139,3 +141,26 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence and notices of every document, the notices joined by commas."""
     found = license_scan(read_documents(spark, sf_dir))
     return found.select("doc_id", "text_digest", "license", F.array_join("notices", ",").alias("notices"))
+
+
+def _canonical_sql(text: str) -> str:
+    out = f"regexp_replace(regexp_replace(lower(coalesce({text}, '')), '(?m){OWNER_LINE}', '', 'g'), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')"
+    for other, usual in SPELLINGS.items():
+        out = f"regexp_replace({out}, '\\b{other}\\b', '{usual}', 'g')"
+    return f"list_filter(list_transform(string_split({out}, chr(10)), lambda x: trim(x)), lambda x: x <> '')"
+
+
+def _rows_sql(rows: dict[str, str]) -> str:
+    return ", ".join("('{}', '{}')".format(a.replace("'", "''"), b.replace("'", "''")) for a, b in rows.items())
+
+
+OP7_SQL = f"""
+WITH notes AS (SELECT sha256(array_to_string({_canonical_sql('t')}, ' ')) AS digest, license FROM (VALUES {_rows_sql(NOTICES)}) AS v(t, license)),
+known AS (SELECT sha256(array_to_string({_canonical_sql('t')}, ' ')) AS digest, license
+          FROM (VALUES {_rows_sql({t: name for name, t in TEXTS.items()})}) AS v(t, license) UNION SELECT digest, license FROM notes),
+d AS (SELECT row_number() OVER () AS rid, doc_id, {_canonical_sql('text')} AS lines FROM documents),
+hits AS (SELECT rid, string_agg(DISTINCT license, ',' ORDER BY license) AS notices
+         FROM (SELECT rid, unnest(lines) AS line FROM d) JOIN notes ON sha256(line) = digest GROUP BY rid)
+SELECT doc_id, sha256(array_to_string(lines, ' ')) AS text_digest, license, coalesce(notices, '') AS notices
+FROM d LEFT JOIN hits USING (rid) LEFT JOIN known ON sha256(array_to_string(lines, ' ')) = known.digest
+"""

@@ -21,5 +21,6 @@ QUERIES = {
 ORACLES = {
     "op2_quality_rules": quality_rules.OP2_SQL,
     "op4_exact_dedup": exact_dedup.OP4_SQL,
+    "op7_licenses": licenses.OP7_SQL,
     "op10_mixing": mixing.OP10_SQL,
 }
