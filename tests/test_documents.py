@@ -25,6 +25,34 @@ def one(spark, document, body, *dictionary, **more):
     return Shredder(pieces, fields(spark, *dictionary) if dictionary else None, **more)
 
 
+def test_default_read_has_no_depth_limit(spark, document):
+    body = "".join(f'<field name="f{i}" show="{i}">' for i in range(20)) + "</field>" * 20
+    nodes = explode_nodes(captures.read_pieces(spark, document(f'<proto name="p">{body}</proto>')))
+    assert nodes.where("protocol = 'p' and type = 'field'").count() == 20
+    assert Q.node_rejects(nodes).count() == 0
+
+
+def test_rule_files_of_a_folder_are_one_list(spark, tmp_path):
+    for name, text in (("b.xml", "two"), ("a.xml", "one")):
+        (tmp_path / name).write_text(f'<fixups><constant protocol="p" text="{text}" name="n"/></fixups>')
+    standard, _, skipped = R.load_rename_file(spark, str(tmp_path))
+    assert [r["text"] for r in standard] == ["one", "two"] and not skipped
+
+
+def test_only_a_lone_binary_is_dropped(spark, document):
+    raw = '<field name="x" show="raw" value="{}"/>'
+    lone = one(spark, document, raw.format("0a") + '<field name="y" show="1"/>', ("x", "bytes", "BASE_NONE"))
+    assert "x" not in columns_of(lone, "p")
+    twice = one(spark, document, raw.format("0a") + raw.format("0b"), ("x", "bytes", "BASE_NONE"))
+    assert columns_of(twice, "p")["x"] == (V.ARRAY, "{ 0a, 0b }")
+
+
+def test_many_repeated_values_take_linear_time(spark, document):
+    body = "".join(f'<field name="x" show="{i % 10}"/>' for i in range(60_000))
+    kind, text = columns_of(one(spark, document, body), "p")["x"]
+    assert kind == V.ARRAY and text.count(",") == 59_999
+
+
 def test_required_depth(spark, document):
     levels = 12
     body = "".join(f'<field name="n{i}" show="{i}">' for i in range(levels)) + "</field>" * levels

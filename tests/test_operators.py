@@ -95,7 +95,7 @@ def test_interrupted_batch_adds_nothing_twice(spark, document, tmp_path):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS sink_r LOCATION '{tmp_path}/db'")
     sink = TableSink(spark, "sink_r")
     job = Shredder(captures.read_pieces(spark, document('<proto name="p"><field name="x" show="1"/></proto>'), depth=2))
-    sink._log(7, "started")
+    sink._log(7, "", "started")
     sink.write(job.rows(), job.layers())  # what the lost run had written
     sink.write(job.rows(), job.layers(), batch=7)
     assert spark.table("sink_r.p").count() == 1
@@ -112,6 +112,27 @@ def test_stream_equals_batch(spark, document, tmp_path):
     assert spark.table("stream_t.p__value").count() == 3
 
 
+def test_streams_into_one_database_are_told_apart(spark, document, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS stream_u LOCATION '{tmp_path}/db'")
+    sink = TableSink(spark, "stream_u")
+    deep = "".join(f'<field name="f{i}" show="{i}">' for i in range(5)) + "</field>" * 5
+    for folder, body in (("one", '<field name="x" show="1"/>'), ("two", '<field name="x" show="2"/>' + deep)):
+        root = document(f'<proto name="p">{body}</proto>', name="f.xml", folder=folder)
+        (tmp_path / folder / "bad.xml").write_text('<pdml><packet><proto name="geninfo"><field name="num" show="no"/></proto></packet></pdml>')
+        for _ in range(2):
+            start_ingest(spark, f"{root}/{folder}", sink, f"{tmp_path}/progress-{folder}", depth=2).awaitTermination()
+    assert sorted(r.x for r in spark.table("stream_u.p").select("x").collect()) == ["1", "2"]
+    assert any("f4" in spark.table(f"stream_u.{t.name}").columns for t in spark.catalog.listTables("stream_u"))
+    rejects = spark.table("stream_u._rejects").collect()
+    assert len(rejects) == 2 and len({r.ingest for r in rejects}) == 2 and {r.stage for r in rejects} == {"packets"}
+
+
+def test_long_comments_do_not_overflow(spark):
+    text = f'proto_register_protocol("Long", /* {"x" * 200_000} */ "S", /* c **/ "foo");'
+    corpus = corpus_of(spark.createDataFrame([("/s/epan/dissectors/packet-foo.c", text)], "path string, text string"))
+    assert mined(corpus)[0].count() == 0
+
+
 def test_mining(spark, tmp_path):
     files = [("/s/epan/dissectors/packet-foo.c",
               '#include "foo.h"\n#define SHORT "foo\\"x"\nproto_register_protocol("Long", "S", /* c */ SHORT);\n'

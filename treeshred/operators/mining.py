@@ -10,7 +10,8 @@ OWN = 1 << 30  # position of a file itself, after its headers
 # The shapes looked for in the sources.
 QUOTED = r'"[^"]*(?:(?<=\\)"[^"]*)*"'
 FILLED = r'"[^"]+(?:(?<=\\)"[^"]*)*"'
-COMMENTS = r"(?:/\*(?:[^*]|\*[^/])*\*/\s*)*"
+# Possessive, without alternation in a repeat: a long comment would overflow the stack of the regex engine.
+COMMENTS = r"(?:/\*[^*]*+\*++(?:[^/*][^*]*+\*++)*+/\s*+)*+"
 SYMBOL = rf"(?:\w+|{FILLED})"
 INCLUDE = r'(?U)#include\s*(?:<|")([^>"]+)(?:"|>)'
 DEFINE = rf"(?U)(?:#define\s*(\w+)\s*({FILLED}))|(?:static\s*char\s*(\w+)[^=]*=\s*({FILLED}))"

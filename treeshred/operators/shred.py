@@ -12,6 +12,7 @@ from .trees import BRANCH_NAMED, CARRIED
 ROW_KEY = ["src", "packet_no", "path"]
 SLICE = 4096  # sibling positions per numbering slice
 LAST = 9223372036854775807
+LONE_BINARY = -1  # ``sub`` of a binary that is dropped unless its column has more values
 
 
 def row_cells(nodes: DataFrame, filters: FilterRules | None = None, keep_binary: bool = False) -> DataFrame:
@@ -19,8 +20,7 @@ def row_cells(nodes: DataFrame, filters: FilterRules | None = None, keep_binary:
 
     A row exists when something below it has content, so each contributing node
     also marks its ancestor rows; the marks collapse map-side when rows are
-    assembled. Denied tables, denied columns and binaries stop here, before
-    the shuffle.
+    assembled. Denied tables and denied columns stop here, before the shuffle.
     """
     nameless = N.is_blank(F.col("name"))
     field = F.col("type") == "field"
@@ -63,9 +63,11 @@ def row_cells(nodes: DataFrame, filters: FilterRules | None = None, keep_binary:
     if filters is not None:
         cells = cells.where(keep_table(filters, F.col("table")))
     dropped = ~keep_column(filters, F.col("table"), F.col("esc")) | F.col("text").isNull()
-    if not keep_binary:
-        dropped = dropped | (F.col("kind") == V.BYTES)
-    return cells.withColumn("esc", F.when(~F.coalesce(dropped, F.lit(False)), F.col("esc")))
+    cells = cells.withColumn("esc", F.when(~F.coalesce(dropped, F.lit(False)), F.col("esc")))
+    if keep_binary:
+        return cells
+    # Whether a binary is alone in its column shows when the row is assembled.
+    return cells.withColumn("sub", F.when(F.col("kind") == V.BYTES, F.lit(LONE_BINARY)).otherwise(F.col("sub")))
 
 
 def assemble_rows(cells: DataFrame) -> DataFrame:
@@ -108,14 +110,20 @@ def number_siblings(rows: DataFrame) -> DataFrame:
 def picked(cells: Column, column: str | Column) -> Column:
     """Values of one escaped column as cells; of names that escape alike the later one wins."""
     hits = F.filter(cells, lambda x: x["esc"] == column)
-    return F.filter(hits, lambda x: x["column"] == F.element_at(
-        F.array_distinct(F.transform(hits, lambda y: y["column"])), -1))
+    # The winner is found once and handed to the filter: inside it, it would be found again for every value.
+    both = F.transform(F.array(hits), lambda h: F.struct(
+        h.alias("hits"), F.try_element_at(F.array_distinct(F.transform(h, lambda y: y["column"])), F.lit(-1)).alias("winner")))
+    return F.get(F.transform(both, lambda b: F.filter(b["hits"], lambda x: x["column"] == b["winner"])), F.lit(0))
 
 
 def stored(hits: Column) -> Column:
-    """One value as it is, repeated values as one text (B10, F16): struct(kind, text)."""
-    one = F.get(hits, F.lit(0))
+    """One value as it is, repeated values as one text (B10, F16): struct(kind, text).
+
+    Of binaries only a lone one is dropped (E13); repeated ones are a text like any other.
+    """
+    lone = F.get(hits, F.lit(0))
     many = F.size(hits) > 1
+    one = F.when(lone["sub"] != LONE_BINARY, lone)
     return F.struct(
         F.when(many, F.lit(V.ARRAY)).otherwise(one["kind"]).alias("kind"),
         F.when(many, X.multi_text(F.transform(hits, lambda x: x["text"]))).otherwise(one["text"]).alias("text"),
@@ -128,7 +136,7 @@ def resolve_columns(rows: DataFrame) -> DataFrame:
     def one(c: Column) -> Column:
         value = stored(picked(F.col("cells"), c))
         return F.struct(c.alias("column"), value["kind"].alias("kind"), value["text"].alias("text"))
-    return rows.withColumn("cols", F.transform(names, one)).drop("cells")
+    return rows.withColumn("cols", F.filter(F.transform(names, one), lambda x: x["kind"].isNotNull())).drop("cells")
 
 
 def row_id(src: Column, packet_no: Column, path: Column) -> Column:

@@ -79,8 +79,8 @@ def explode_nodes(pieces: DataFrame, rules: RenameRules | None = None) -> DataFr
     """One row per node of every tree, renamed and named.
 
     Rejected nodes come back as rows with ``reject`` set and without subtree.
-    A node whose children lie below the read schema is reported the same way
-    (``captures.required_depth`` finds the depth that holds all of them).
+    A node whose children lie below the read schema keeps its own value and has
+    ``cut`` set (``captures.required_depth`` finds the depth that holds all of them).
     """
     schema = pieces.schema["proto"].dataType
     text = F.lit(None).cast("string")
@@ -93,7 +93,7 @@ def explode_nodes(pieces: DataFrame, rules: RenameRules | None = None) -> DataFr
         F.array().cast("array<bigint>").alias("p_order"),
         F.col("proto._name").alias("protocol"),
         *[text.alias(c) for c in OWN_TEXT],
-        F.lit(None).cast("boolean").alias("branch"),
+        F.lit(None).cast("boolean").alias("branch"), F.lit(None).cast("boolean").alias("cut"),
         F.array().cast("array<bigint>").alias("order_path"),
     )
     level = 0
@@ -123,8 +123,8 @@ def _finish_level(df: DataFrame, schema: T.StructType, level: int, rules: Rename
         "*",
         *[F.when(fresh, _attribute(schema, "k", f"_{a}")).alias(f"n_{a}")
           for a in ("name", "show", "showname", "value")],
-        F.when(fresh, F.when(bad, F.lit("bad size or position")).when(too_deep, F.lit("tree too deep")))
-        .alias("n_reject"),
+        F.when(fresh, F.when(bad, F.lit("bad size or position"))).alias("n_reject"),
+        F.when(fresh, too_deep).alias("n_cut"),
         F.when(fresh, (survivors > 0) | F.lit(level == 0)).alias("n_branch"),
         *([] if kids is None or child_schema is None else [F.when(fresh & ~bad, kids).alias("kids")]),
     )
@@ -139,7 +139,7 @@ def _finish_level(df: DataFrame, schema: T.StructType, level: int, rules: Rename
     order_path = (F.array(position) if level == 0
                   else F.concat(F.col("p_order"), F.array(own_class.cast("bigint"), position)))
     keep = [c for c in df.columns if not c.startswith("n_") and c not in OWN_TEXT
-            and c not in ("branch", "order_path", "k")]
+            and c not in ("branch", "cut", "order_path", "k")]
     df = df.select(
         *keep,
         new("type", F.lit("proto" if level == 0 else "field")),
@@ -147,6 +147,7 @@ def _finish_level(df: DataFrame, schema: T.StructType, level: int, rules: Rename
         *[new(a, _attribute(schema, "k", f"_{a}")) for a in ("size", "pos", "hide")],
         new("reject", F.col("n_reject")),
         new("branch", F.col("n_branch")),
+        new("cut", F.col("n_cut")),
         new("local", local),
         new("order_path", order_path),
         F.col("table"),

@@ -272,7 +272,7 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'line_item', 'geninfo', '0', count(*) FROM lineitem
         UNION ALL SELECT 'line__value', 'geninfo', '0', count(*) FROM lineitem
         UNION ALL SELECT 'line__group', 'geninfo', '0', count(*) FROM lineitem WHERE l_discount > 0.05""",
-    "binary_drop": """SELECT 'part/' || p_partkey || '/0' AS _id, NULL AS dropped, p_size, lower(hex(p_name::BLOB)) AS kept FROM part""",
+    "binary_drop": """SELECT 'part/' || p_partkey || '/0' AS _id, NULL AS dropped, p_size, lower(hex(p_name::BLOB)) AS kept, '{ ' || lower(hex(p_name::BLOB)) || ', ' || lower(hex(p_name::BLOB)) || ' }' AS p_twin FROM part""",
     "infer_kinds": f"""WITH cells AS ({ORDER_CELLS}) SELECT "table", "column", kind, count(*) AS n FROM cells GROUP BY 1, 2, 3""",
     "widen_types": f"""WITH cells AS ({ORDER_CELLS}), w AS ({WIDEN}) SELECT "table", "column", kind,
         CASE WHEN kind <> 'String16' THEN NULL WHEN pure THEN {BUCKET.format("longest")} ELSE 4000 END AS width, filled FROM w""",

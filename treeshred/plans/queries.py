@@ -519,18 +519,20 @@ def filter_promote_children(spark, sf_dir):
 
 @query
 def binary_drop(spark, sf_dir):
-    """Binary values keep their row alive but are not stored unless asked for."""
+    """Lone binary values keep their row alive but are not stored unless asked for; repeated ones are a text."""
     part = O.read(spark, sf_dir, "part")
     kind = node_type(0)
     fields = F.array(O.leaf(kind, "p.raw", F.lit("raw")).withField("_value", F.hex("p_name")),
-                     O.leaf(kind, "p.size", F.col("p_size").cast("string")))
+                     O.leaf(kind, "p.size", F.col("p_size").cast("string")),
+                     *[O.leaf(kind, "p.twin", F.lit("raw")).withField("_value", F.hex("p_name")) for _ in range(2)])
     pieces = part.select(
         F.lit("part").alias("src"), F.col("p_partkey").alias("packet_no"), F.col("p_partkey").alias("number"),
         F.lit(None).cast("timestamp_ntz").alias("ts"), F.lit(None).cast("int").alias("gen_idx"), F.lit(0).alias("proto_idx"),
         F.lit(None).cast("bigint").alias("shift"), O.branch(node_type(1), "p", None, fields).alias("proto"))
-    fields_ = R.literal_rows(spark, [("p.raw", "bytes", "BASE_NONE"), ("p.size", "u8", "BASE_DEC")], ["short_name", "cls", "base"])
-    columns = {"p_raw": V.BYTES, "p_size": V.INT32}
-    dropped = Shredder(pieces, fields_).table("p", columns).select("_id", F.col("p_raw").alias("dropped"), "p_size")
+    fields_ = R.literal_rows(spark, [("p.raw", "bytes", "BASE_NONE"), ("p.twin", "bytes", "BASE_NONE"), ("p.size", "u8", "BASE_DEC")],
+                             ["short_name", "cls", "base"])
+    columns = {"p_raw": V.BYTES, "p_size": V.INT32, "p_twin": V.ARRAY}
+    dropped = Shredder(pieces, fields_).table("p", columns).select("_id", F.col("p_raw").alias("dropped"), "p_size", "p_twin")
     kept = Shredder(pieces, fields_, keep_binary=True).table("p", columns).select("_id", F.col("p_raw").alias("kept"))
     return dropped.join(kept, "_id")
 

@@ -77,21 +77,25 @@ def rename_rules(spark: SparkSession, standard: list[dict] | DataFrame | None =
     return RenameRules(expand_standard(standard) if standard is not None else None, usable)
 
 
-def _whole_text(spark: SparkSession, path: str) -> str:
-    """Rule files are hand-written lists; one is read whole on the driver, up to a set size."""
-    file = spark.read.format("binaryFile").load(path).select("content", "length").first()
-    if file is None or file["length"] > MAX_RULE_FILE:
-        raise ValueError(f"rule file missing or larger than {MAX_RULE_FILE} bytes: {path}")
-    return bytes(file["content"]).decode("utf-8-sig")
+def _whole_texts(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """Texts of a rule file, or of all files of a folder or list, in path order.
 
-
-MAX_RULE_FILE = 64 << 20
+    Rule files are lists that people write or that mining made, so they are parsed on the driver.
+    """
+    files = spark.read.format("binaryFile").load(path).select("path", "content").orderBy("path").collect()
+    texts = [bytes(f["content"]).decode("utf-8-sig") for f in files if bytes(f["content"]).strip()]
+    if not files:
+        raise ValueError(f"no rule file in {path}")
+    return texts
 
 
 def load_rename_file(spark: SparkSession, path: str) -> tuple[list[dict], list[dict], list[tuple[str, str]]]:
-    """XML rule file to (standard, templates, skipped): ``/fixups/*`` elements."""
+    """XML rule files to (standard, templates, skipped): ``/fixups/*`` elements.
+
+    A folder or list of files counts as one list in path order, so a later file overrides an earlier one.
+    """
     standard, templates, skipped = [], [], []
-    for node in ET.fromstring(_whole_text(spark, path)):
+    for node in (n for text in _whole_texts(spark, path) for n in ET.fromstring(text)):
         kind = node.tag.lower()
         if kind == "template" and any(node.get(k) for k in TEMPLATE_KEYS):
             templates.append(dict(node.attrib))
@@ -103,11 +107,11 @@ def load_rename_file(spark: SparkSession, path: str) -> tuple[list[dict], list[d
 
 
 def load_filter_file(spark: SparkSession, path: str) -> tuple[FilterRules, list[tuple[str, str]]]:
-    """XML filter file to rules and skipped elements."""
-    root, rules, skipped = ET.fromstring(_whole_text(spark, path)), FilterRules(), []
+    """XML filter files, in path order, to rules and skipped elements."""
+    roots, rules, skipped = [ET.fromstring(t) for t in _whole_texts(spark, path)], FilterRules(), []
     for section, keys, out in (("tables", ("tableName",), rules.tables),
                                ("columns", ("tableName", "columnName"), rules.columns)):
-        for node in root.findall(f"./{section}/*"):
+        for node in (n for root in roots for n in root.findall(f"./{section}/*")):
             if node.tag.lower() in ("allow", "deny") and all(node.get(k) for k in keys):
                 out.append({"action": node.tag.lower(), **{k: node.get(k) for k in keys}})
             else:
