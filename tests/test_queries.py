@@ -7,7 +7,7 @@ from oracle_check import compare, connect
 
 SF = "/root/testdata/sf0.001"
 # Queries that SQL can't express; their own tests compare them with brute force.
-NOT_SQL = {"mine_speculative", "pipeline", "op1_language", "op3_bpe", "op5_token_files", "op6_quality", "op8_near_dup", "op9_secrets"}
+NOT_SQL = {"pipeline", "op1_language", "op3_bpe", "op5_token_files", "op6_quality", "op8_near_dup", "op9_secrets"}
 
 
 @pytest.fixture(scope="module")

@@ -321,6 +321,16 @@ ORACLES: dict[str, str] = {
     "mine_classify": f"WITH {LINES_SQL} SELECT doc_id, pos::INT AS at_, outcome, rule_text FROM ruled",
     "mine_dedupe": f"""WITH {LINES_SQL} SELECT DISTINCT lower(outcome) AS kind, {NAMES} AS protocol, rule_text AS text FROM ruled WHERE rule_text IS NOT NULL""",
     "mine_trace": f"WITH {LINES_SQL} SELECT outcome, count(*) AS n FROM ruled GROUP BY 1",
+    "mine_speculative": r"""WITH c AS (
+        SELECT 'packet-d' || doc_id || '.c' AS unit, '#include <glib.h>' || chr(10) || '#include "common/' || source || '.h"' || chr(10)
+          || CASE WHEN doc_id % 2 = 0 THEN '#define PROTO_NAME "doc' || doc_id || '"' || chr(10) ELSE '' END
+          || CASE WHEN doc_id % 3 = 2 THEN '' ELSE 'proto_register_protocol("Long name", "Short", /* key */ '
+               || CASE WHEN doc_id % 3 = 0 THEN 'PROTO_NAME' ELSE '"own' || doc_id || '"' END || ');' || chr(10) END
+          || coalesce(array_to_string(list_transform(list_filter(string_split(regexp_replace(text, '["\\,]', ' ', 'g'), chr(10)), lambda x: x <> ''),
+               lambda x: '  proto_tree_add_text(tree, tvb, 0, 1, "' || x || '", v);' || chr(10)), ''), '') AS t FROM documents
+        UNION ALL SELECT DISTINCT source || '.h', 'static char PROTO_NAME[] = "' || source || '";' || chr(10) FROM documents),
+      m AS (SELECT unit, regexp_extract_all(t, '"( *[\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}(][\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}\- ()'']{1,64})(?:: *)?"', 1) AS x FROM c)
+      SELECT unit, unnest(range(len(x)))::INT AS "at", unnest(x) AS text FROM m""",
     "quality_counts": f"""WITH {PART_LABELS}, {PROTO_LINES}, r AS (
         SELECT 'nodes' AS stage, 'error' AS severity, count(*) AS n FROM part WHERE p_brand = 'Brand#1'
         UNION ALL SELECT 'values', 'warning', (SELECT count(*) FROM part WHERE p_brand <> 'Brand#1')

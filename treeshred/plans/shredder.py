@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions import naming as N
 from ..operators import shred as S
 from ..operators.filters import FilterRules
 from ..operators.rename import RenameRules
@@ -25,26 +26,35 @@ class Shredder:
     keep_binary: bool = False
     _memo: dict = field(default_factory=dict)
 
-    def nodes(self) -> DataFrame:
-        """All nodes, named, typed and labelled; rejected ones carry ``reject``."""
-        if "nodes" not in self._memo:
-            if isinstance(self.labels, DataFrame):
-                self.labels = prepare_labels(self.labels)
-            nodes = explode_nodes(self.pieces, self.rules)
-            self._memo["nodes"] = label_values(type_nodes(nodes, self.fields, self.capture_tz), self.labels)
-        return self._memo["nodes"]
+    def nodes(self, table: str | None = None) -> DataFrame:
+        """All nodes, named, typed and labelled; rejected ones carry ``reject``.
+
+        For one ``table`` only its nodes and those below its rows: others are left out before typing and labels.
+        """
+        if "nodes" in self._memo:
+            return self._memo["nodes"]
+        if isinstance(self.labels, DataFrame):
+            self.labels = prepare_labels(self.labels)
+        nodes = explode_nodes(self.pieces, self.rules)
+        if table is not None:
+            chain = F.concat(F.coalesce("anc", F.array().cast("array<string>")), F.array("table"))
+            nodes = nodes.where(F.exists(chain, lambda t: F.coalesce(N.escape_normal(t) == table, F.lit(False))))
+        nodes = label_values(type_nodes(nodes, self.fields, self.capture_tz), self.labels)
+        if table is None:
+            self._memo["nodes"] = nodes
+        return nodes
 
     def staged(self) -> "Shredder":
         """Keep typed nodes in the staging folder: for runs that write many tables from one scan."""
         self._memo["nodes"] = stage(self.nodes(), "nodes")
         return self
 
-    def cells(self) -> DataFrame:
-        return S.row_cells(self.nodes(), self.filters, self.keep_binary)
+    def cells(self, table: str | None = None) -> DataFrame:
+        return S.row_cells(self.nodes(table), self.filters, self.keep_binary)
 
     def rows(self, table: str | None = None) -> DataFrame:
         """Output rows of all tables, or of one; denied tables are gone, ``cells`` hold the values."""
-        cells = self.cells()
+        cells = self.cells(table)
         if table is not None:
             cells = cells.where(F.col("table") == table)
         rows = S.assemble_rows(cells)

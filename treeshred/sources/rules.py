@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import naming as N
 from ..operators.filters import FilterRules
 from ..operators.rename import RenameRules
+from ..session import stage
 
 TEMPLATE_KEYS = ("parentName", "name", "show", "showname", "value")
 
@@ -74,7 +75,8 @@ def rename_rules(spark: SparkSession, standard: list[dict] | DataFrame | None =
         rows = [(i, r["kind"], r.get("protocol"), r.get("text"), r.get("name")) for i, r in enumerate(standard)]
         standard = literal_rows(spark, rows, ["seq", "kind", "protocol", "text", "name"]) if rows else None
     usable = [t for t in templates or [] if any(t.get(k) for k in TEMPLATE_KEYS)]
-    return RenameRules(expand_standard(standard) if standard is not None else None, usable)
+    # Every level of every tree joins the rules: they are expanded once.
+    return RenameRules(stage(expand_standard(standard), "rules") if standard is not None else None, usable)
 
 
 def _whole_texts(spark: SparkSession, path: str | list[str]) -> list[str]:
