@@ -22,7 +22,7 @@ COORDINATES = 64
 HASHES = 3
 MATCHES = 15
 MAX_CACHED_WORDS = 400_000
-# Leader rounds go on while the pairs still open outnumber the classes by this factor.
+# Leader rounds go on while the pairs still open outnumber the classes by this factor and the last round settled half of them.
 OPEN_PER_CLASS = 2
 MAX_LEADER_ROUNDS = 6
 # A coordinate value with more open pairs is joined on two values at once.
@@ -188,7 +188,7 @@ def class_links(classes: DataFrame, docs: DataFrame, words: int, percent: int) -
     held = stage(prefixes(classes), "near-prefixes")
     postings = held.select("rid", "n", "reach", F.explode(F.slice("values", 1, F.col("base"))).alias("value")).withColumn(
         "comp", F.col("rid"))
-    found, tested, n_classes = [], None, classes.count()
+    found, tested, n_classes, before = [], None, classes.count(), 0
     for step in range(MAX_LEADER_ROUNDS):
         # The first leader is the class that shares most with others, later ones are any.
         order = F.col("reach") if step == 0 else F.xxhash64("rid", "value", F.lit(step))
@@ -197,8 +197,9 @@ def class_links(classes: DataFrame, docs: DataFrame, words: int, percent: int) -
         if open_pairs.isEmpty():
             break
         total = open_pairs.agg(F.sum("n_open")).first()[0]
-        if step and total <= OPEN_PER_CLASS * n_classes:
+        if step and (total <= OPEN_PER_CLASS * n_classes or 2 * total > before):
             break
+        before = total
         live = postings.join(open_pairs.select("value"), "value", "left_semi")
         leaders = stage(live.groupBy("value").agg(F.max(F.struct(order.alias("o"), "rid", "n", "comp")).alias("top")),
                         f"near-leaders-{step}")
