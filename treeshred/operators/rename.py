@@ -91,5 +91,4 @@ def template_rename(df: DataFrame, templates: list[dict]) -> DataFrame:
         F.when(hit, value).otherwise(F.col("n_show")).alias("n_show"),
         F.when(hit, value).otherwise(F.col("n_showname")).alias("n_showname"),
         value.alias("n_value"),
-        F.coalesce(hit, F.lit(False)).alias("n_renamed"),
     )
