@@ -16,17 +16,18 @@ from treeshred.session import stage
 
 WORDS = 5
 PERCENT = 80
-# A coordinate is the smallest hashes under HASHES functions together: unrelated texts, which share some common shingles,
-# hardly ever agree in one. A pair of similarity 0.8 agrees in 33 of 64 on average, in fewer than 15 once in 200,000 times.
+# A coordinate is the smallest hashes under HASHES functions together. Unrelated texts, which share some common shingles,
+# hardly ever agree in one, and texts that share half of theirs agree in one of 64. A pair of
+# similarity 0.8 agrees in 17 on average, in fewer than 3 once in a million times.
 COORDINATES = 64
-HASHES = 3
-MATCHES = 15
+HASHES = 6
+MATCHES = 3
 MAX_CACHED_WORDS = 400_000
 # Leader rounds go on while the pairs still open outnumber the classes by this factor and the last round settled half of them.
 OPEN_PER_CLASS = 2
 MAX_LEADER_ROUNDS = 6
 # A coordinate value with more open pairs is joined on two values at once.
-HEAVY_PAIRS = 20_000
+HEAVY_PAIRS = 1_000_000
 BROADCAST_ROWS = 500_000
 # Rows with two texts that go to Python at a time.
 TEXT_PAIRS = 256
