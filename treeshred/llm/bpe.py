@@ -116,6 +116,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], file, packed: bytes):
         for a, b in chunks(texts):
             ids, bounds = encoder.ids(texts[a:b])
             yield batch.slice(a, b - a), ids, bounds.tolist(), table
+    pa.default_memory_pool().release_unused()
 
 
 def encode(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:

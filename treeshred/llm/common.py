@@ -14,7 +14,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
 # Lower-cases A-Z only. It works on UTF-8 bytes, as bytes of longer characters are all above 127.
 FOLD = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18
 
 
 def fold(text: str | None) -> bytes:

@@ -22,7 +22,7 @@ PERCENT = 80
 COORDINATES = 64
 HASHES = 6
 MATCHES = 3
-MAX_CACHED_WORDS = 400_000
+MAX_CACHED_WORDS = 100_000
 # Leader rounds go on while the pairs still open outnumber the classes by this factor and the last round settled half of them.
 OPEN_PER_CLASS = 2
 MAX_LEADER_ROUNDS = 6
@@ -100,6 +100,7 @@ def _sketches(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Reco
             [batch.column(0), batch.column(1), pa.array(n, pa.int64()),
              pa.array(np.array(h1, np.uint64).view(np.int64)), pa.array(np.array(h2, np.uint64).view(np.int64)), lists],
             names=["doc_id", "th", "n", "h1", "h2", "sig"])
+    pa.default_memory_pool().release_unused()
 
 
 def _small_enough(percent: int):

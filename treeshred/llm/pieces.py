@@ -12,8 +12,9 @@ import numpy as np
 # The Unicode white space characters.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 LETTER, NUMBER, SPACE, OTHER = range(4)
-MAX_CACHED_PIECES = 400_000
-MAX_CACHED_IDS = 4_000_000
+# A Python worker lives on through all stages of a job, and so does its cache.
+MAX_CACHED_PIECES = 100_000
+MAX_CACHED_IDS = 2_000_000
 
 
 @lru_cache(maxsize=1)
@@ -118,8 +119,9 @@ class PieceEncoder:
     ``special`` maps strings that are cut out of a text first and have one id.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], special: dict[str, int], table: np.ndarray):
-        self.encode, self.special, self.table = encode, special, table
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], special: dict[str, int], table: np.ndarray,
+                 most: int = MAX_CACHED_PIECES):
+        self.encode, self.special, self.table, self.most = encode, special, table, most
         self._clear()
 
     def _clear(self) -> None:
@@ -157,7 +159,7 @@ class PieceEncoder:
 
     def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order, and where each text's ids begin (one more entry at the end)."""
-        if self.size > MAX_CACHED_PIECES or self.used > MAX_CACHED_IDS:
+        if self.size > self.most or self.used > MAX_CACHED_IDS:
             self._clear()
         parts, counts = self.segments(texts)
         pieces, per_part = split_pieces(parts, self.table, frozenset(self.special))

@@ -27,7 +27,7 @@ EPOCHS = 150
 THRESHOLD = 0.5
 # A labeller's bound is set so wide that it accuses at most this share of the good documents.
 MOST_FALSE = 0.001
-MAX_CACHED_WORDS = 300_000
+MAX_CACHED_WORDS = 50_000
 
 # Measures of a text, and for each a labeller: (measure, good up to, bad from). Between them, and for few words, it abstains.
 MEASURES = ("symbols", "upper", "bangs", "bars", "repeats", "lines", "ends", "odd_lengths")
@@ -246,7 +246,9 @@ def with_score(docs: DataFrame, scorer: Scorer, name: str = "quality_score") ->
 
     def score(texts: pd.Series) -> pd.Series:
         known = _WordBuckets()
-        return pd.Series([shared.value.score(t, known) for t in texts], dtype="float64")
+        scores = pd.Series([shared.value.score(t, known) for t in texts], dtype="float64")
+        pa.default_memory_pool().release_unused()
+        return scores
 
     return docs.withColumn(name, F.pandas_udf(score, DoubleType())(F.col("text")))
 

@@ -25,6 +25,7 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 SEQUENCE = 1024
 BATCH_SEQUENCES = 256
 END_ID = 2
+MAX_CACHED_PIECES = 400_000
 
 _WRITTEN = "part int, path string, n_docs long, n_tokens long"
 _LOADED: dict[str, tuple[PieceEncoder, int]] = {}
@@ -48,7 +49,7 @@ def _library_encoder(file, packed: bytes) -> tuple[PieceEncoder, int]:
                     for p in new]
 
         special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
-        _LOADED[key] = PieceEncoder(pieces, special, classes(packed)), tokenizer.get_vocab_size()
+        _LOADED[key] = PieceEncoder(pieces, special, classes(packed), MAX_CACHED_PIECES), tokenizer.get_vocab_size()
     return _LOADED[key]
 
 
