@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ MIN_CHARS = 200
 MIN_COMMON_WORDS = 50
 MAX_CLASS_DISTANCE = 0.3
 MAX_WORD_DISTANCE = 0.4
+# The same for words, as a share of the distance of a document without any common word: the fixed one above is beyond it.
+MAX_WORD_SHARE = 0.85
 
 # Common words of each language.
 COMMON = {
@@ -97,6 +101,13 @@ def distance(counts: Column, reference: list[float]) -> Column:
     return F.when(total > 0, F.sqrt(F.greatest(bits, F.lit(0.0))))
 
 
+def bare_distance(reference: list[float]) -> float:
+    """Distance from a reference of words, its last share the other words, of a document that has no common word."""
+    rest = reference[-1]
+    bits = (1 - rest + math.log2(2 / (1 + rest)) + (rest * math.log2(2 * rest / (1 + rest)) if rest else 0.0)) / 2
+    return math.sqrt(max(bits, 0.0))
+
+
 def references(counted: DataFrame) -> dict[str, tuple[list[float], list[float]]]:
     """Shares of character classes and of common words in each language, over all its documents that pass the base rules.
 
@@ -119,9 +130,10 @@ def _shares(counts: list[int]) -> list[float]:
 
 
 def judge(counted: DataFrame, refs: dict[str, tuple[list[float], list[float]]]) -> DataFrame:
-    """Add base_failed, class_distance, word_distance and kept.
+    """Add base_failed, class_distance, word_distance, word_share, kept and kept_fixed.
 
-    A document is compared with its own language, or with all where that is null or has no reference, and the nearest
+    ``word_share`` is the word distance over that of a document without any common word, and ``kept`` goes by it.
+    ``kept_fixed`` goes by the fixed word distance instead, which such a document passes; it is the verdict of OP2_SQL. A document is compared with its own language, or with all where that is null or has no reference, and the nearest
     counts. Histograms below the length guards, and languages without a reference, say nothing: the base rules decide alone.
     """
     classes = F.array(*[F.col(c).cast("double") for c in CLASSES])
@@ -143,13 +155,19 @@ def judge(counted: DataFrame, refs: dict[str, tuple[list[float], list[float]]])
         rest = F.col("n_words") - F.aggregate(counts, F.lit(0.0), lambda s, x: s + x)
         return distance(F.concat(counts, F.array(rest)), ref[1])
 
+    def by_share(name: str, ref) -> Column:
+        bare = bare_distance(ref[1])
+        return by_words(name, ref) / bare if bare > 0 else F.lit(None).cast("double")
+
     judged = counted.withColumns({
         "base_failed": base_failed(),
         "class_distance": F.when(F.col("n_chars") >= MIN_CHARS, nearest(lambda name, ref: distance(classes, ref[0]))),
-        "word_distance": F.when(F.col("n_words") >= MIN_COMMON_WORDS, nearest(by_words))})
-    fits = (F.coalesce(F.col("class_distance") <= MAX_CLASS_DISTANCE, F.lit(True))
-            & F.coalesce(F.col("word_distance") <= MAX_WORD_DISTANCE, F.lit(True)))
-    return judged.withColumn("kept", ~F.col("base_failed") & fits)
+        "word_distance": F.when(F.col("n_words") >= MIN_COMMON_WORDS, nearest(by_words)),
+        "word_share": F.when(F.col("n_words") >= MIN_COMMON_WORDS, nearest(by_share))})
+    fits = ~F.col("base_failed") & F.coalesce(F.col("class_distance") <= MAX_CLASS_DISTANCE, F.lit(True))
+    return judged.withColumns({
+        "kept": fits & F.coalesce(F.col("word_share") <= MAX_WORD_SHARE, F.lit(True)),
+        "kept_fixed": fits & F.coalesce(F.col("word_distance") <= MAX_WORD_DISTANCE, F.lit(True))})
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
@@ -164,6 +182,14 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, and the verdict by the fixed word distance of OP2_SQL; op2_quality_verdict has the whole rule."""
+    return quality_rules(read_documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        F.col("kept_fixed").alias("kept"))
+
+
+def op2_quality_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, and the verdict by the share of the word distance."""
     return quality_rules(read_documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
@@ -219,3 +245,13 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
          AND (n_words < {MIN_COMMON_WORDS} OR coalesce(near.w <= {MAX_WORD_DISTANCE}, true)) AS kept
 FROM base LEFT JOIN near USING (rid)
 """
+
+OP2_VERDICT_SQL = OP2_SQL[:OP2_SQL.rindex("SELECT doc_id")] + f""",
+bare AS (SELECT cl, sqrt(greatest(sum(CASE WHEN k <> 99 THEN q ELSE log2(2 / (1 + q))
+    + CASE WHEN q > 0 THEN q * log2(2 * q / (1 + q)) ELSE 0 END END) / 2, 0)) AS v FROM wref GROUP BY cl),
+share AS (SELECT rid, min(dist.v / nullif(bare.v, 0)) AS s FROM dist JOIN bare USING (cl) WHERE kind = 'w' GROUP BY rid)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND (n_chars < {MIN_CHARS} OR coalesce(near.c <= {MAX_CLASS_DISTANCE}, true))
+         AND (n_words < {MIN_COMMON_WORDS} OR coalesce(share.s <= {MAX_WORD_SHARE}, true)) AS kept
+FROM base LEFT JOIN near USING (rid) LEFT JOIN share USING (rid)
+"""
