@@ -1,0 +1,14 @@
+"""Cases of the second round's findings."""
+
+from treeshred.plans.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_mining_returns_speculative_rows(spark):
+    rules = QUERIES["mine_dedupe_all"](spark, SF)
+    trace = {r.outcome: r.n for r in QUERIES["mine_trace_all"](spark, SF).collect()}
+    assert {r.kind for r in rules.select("kind").distinct().collect()} == {"constant", "speculative"}
+    assert trace.pop("Speculative") > 0
+    assert trace == {r.outcome: r.n for r in QUERIES["mine_trace"](spark, SF).collect()}
+    assert QUERIES["mine_classify_all"](spark, SF).where("phase = 1 AND outcome = 'Speculative'").count() > 0

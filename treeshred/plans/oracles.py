@@ -359,3 +359,19 @@ ORACLES: dict[str, str] = {
             {'t': 'line__group', 'c': '_index', 'kind': 'Int32', 'filled': l.g}, {'t': 'line__group', 'c': 'line_discount', 'kind': 'Float', 'filled': l.g}
           ], recursive := true) FROM o, l)""",
 }
+
+# Speculative literals of a document: those of its own source, and those of the header that it includes.
+GUESSES = f"""guesses AS ({ORACLES["mine_speculative"]}),
+  guessed AS (SELECT doc_id, source, g.text FROM documents JOIN guesses AS g ON g.unit = 'packet-d' || doc_id || '.c'
+    UNION ALL SELECT doc_id, source, g.text FROM documents JOIN guesses AS g ON g.unit = source || '.h')"""
+
+ORACLES |= {
+    "mine_classify_all": f"""WITH {LINES_SQL}, {GUESSES}
+        SELECT 'packet-d' || doc_id || '.c' AS unit, 0 AS phase, pos::INT AS at_, text, outcome, rule_text FROM ruled
+        UNION ALL SELECT unit, 1, "at", text, 'Speculative', text FROM guesses""",
+    "mine_dedupe_all": f"""WITH {LINES_SQL}, {GUESSES}
+        SELECT lower(outcome) AS kind, {NAMES} AS protocol, rule_text AS text FROM ruled WHERE rule_text IS NOT NULL
+        UNION SELECT 'speculative', {NAMES}, text FROM guessed""",
+    "mine_trace_all": f"""WITH {LINES_SQL}, {GUESSES} SELECT outcome, count(*) AS n FROM ruled GROUP BY 1
+        UNION ALL SELECT 'Speculative', count(*) FROM guessed""",
+}

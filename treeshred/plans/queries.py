@@ -809,6 +809,27 @@ def mine_trace(spark, sf_dir):
     return trace.where("outcome <> 'Speculative'").groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def mine_classify_all(spark, sf_dir):
+    """Literals of both phases with their outcomes; mine_literals and mine_classify have the format texts alone."""
+    out = G.classify(G.literals(document_corpus(spark, sf_dir)))
+    return out.select(F.regexp_extract("unit", "([^/]+)$", 1).alias("unit"), "phase", F.col("at").alias("at_"), "text", "outcome", "rule_text")
+
+
+@query
+def mine_dedupe_all(spark, sf_dir):
+    """Rules of every kind; mine_dedupe leaves the speculative ones out."""
+    rules, _ = G.mined(document_corpus(spark, sf_dir))
+    return rules.select("kind", "protocol", "text")
+
+
+@query
+def mine_trace_all(spark, sf_dir):
+    """Trace counts of every outcome; mine_trace leaves the speculative one out."""
+    _, trace = G.mined(document_corpus(spark, sf_dir))
+    return trace.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- quality ---------------------------------------------------------------------------------
 
 @query
