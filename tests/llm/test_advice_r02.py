@@ -2,7 +2,7 @@
 
 import random
 
-from treeshred.llm import quality_rules
+from treeshred.llm import language, quality_rules
 
 
 def test_word_salad_is_rejected(spark):
@@ -17,3 +17,10 @@ def test_word_salad_is_rejected(spark):
     assert not got[100].base_failed and not got[100].kept and not got[101].kept
     # The fixed word distance lets it pass.
     assert got[100].kept_fixed and got[100].word_share > 0.95
+
+
+def test_every_letter_of_the_training_text_counts():
+    one, two = [chr(0x5000 + i) for i in range(100)], [chr(0x6000 + i) for i in range(300)]
+    model = language.LanguageModel({"a": "".join(one) * 20, "b": "".join(two) * 10})
+    assert model.predict(["".join(two[40:240]), "".join(one[10:60])])[0] == ["b", "a"]
+    assert len(set(language._unpacked(model.symbols)[[ord(c) for c in one + two]])) == 400

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import math
+import random
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -19,7 +19,6 @@ from treeshred.llm.common import chunks, plain, read_documents, text_column
 TRAIN_DOCS = 64
 TRAIN_DOC_CHARS = 2000
 TRAIN_CHARS = 30_000
-ALPHABET = 96
 BLOCK = 256
 UNKNOWN, GAP = 0, 1
 NO_LANGUAGE = "und"
@@ -70,10 +69,11 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
 
 
 class LanguageModel:
-    """Automata of all languages in one table, and the alphabet.
+    """Automata of all languages in one table, and the alphabet: every letter of the training text has a symbol.
 
-    An entry of the table is twice the offset of the next state's row, plus 1 where the phrase ends: the next phrase then
-    starts with the character that didn't fit. So a step of the parse is one lookup.
+    Rows of states lie one over the other in the table, each moved to where its edges hit free entries: an edge is at
+    the state's offset plus the symbol, and is the state's own if ``owner`` says so. Where it isn't, the phrase ends and
+    the next one starts with the character that didn't fit. So the table grows with the edges, not with the alphabet.
     """
 
     def __init__(self, texts: dict[str, str]):
@@ -83,34 +83,45 @@ class LanguageModel:
         for name in self.languages:
             codes = letters[np.frombuffer(texts[name].encode("utf-32-le", "surrogatepass"), "<u4")]
             coded[name] = codes[(codes > 0) | np.concatenate(([False], codes[:-1] > 0))].tolist()
-        counts = Counter(c for codes in coded.values() for c in codes if c)
-        known = [c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:ALPHABET]]
+        known = sorted({c for codes in coded.values() for c in codes if c})
         symbol = {c: i + 2 for i, c in enumerate(known)}
-        self.width, self.pad = len(known) + 3, len(known) + 2
-        of_code = np.array([symbol.get(c, UNKNOWN) for c in range(max(known, default=0) + 1)] or [UNKNOWN], np.uint8)
-        symbols = np.where(letters == 0, GAP, of_code[np.minimum(letters, len(of_code) - 1)]).astype(np.uint8)
-        symbols[letters >= len(of_code)] = UNKNOWN
+        self.pad = len(known) + 2
+        of_code = np.zeros(0x110000, np.int32)
+        of_code[known] = np.arange(2, len(known) + 2)
+        symbols = np.where(letters == 0, GAP, of_code[letters]).astype(np.int32)
         self.symbols = zlib.compress(symbols.tobytes())
-        rows, self.roots, self.bits, base = [], [], [], 0
-        for name in self.languages:
-            line = [symbol.get(c, UNKNOWN) if c else GAP for c in coded[name]][:TRAIN_CHARS]
+        states: list[dict[int, int]] = []
+        self.bits = []
+        self.start = np.zeros((len(self.languages), self.pad + 1), np.int32)
+        for n, name in enumerate(self.languages):
+            line = [symbol[c] if c else GAP for c in coded[name]][:TRAIN_CHARS]
+            base = len(states)
             go = suffix_automaton(line)
+            states += [{s: base + to for s, to in edges.items()} for edges in go]
             # The last state stands behind a character that the language doesn't have: whatever follows is a new phrase.
-            dead = len(go)
-            at = np.full((dead + 1, self.width), -1, np.int64)
-            for state, edges in enumerate(go):
-                at[state, list(edges)] = list(edges.values())
-            at[:, UNKNOWN] = -1
-            start = np.where(at[0] < 0, dead, at[0])
-            step = np.where(at < 0, 2 * (base + start * self.width) + 1, 2 * (base + at * self.width))
-            # At the root a phrase has just begun.
-            step[0] &= ~1
-            step[:, self.pad] = 2 * (base + np.arange(dead + 1) * self.width)
-            rows.append(step.astype(np.int32).ravel())
-            self.roots.append(base)
+            self.start[n] = len(states)
+            self.start[n, list(states[base])] = list(states[base].values())
+            states.append({})
             self.bits.append(math.log2(len(line) + 2))
-            base += (dead + 1) * self.width
-        self.table = np.concatenate(rows) if rows else np.zeros(0, np.int32)
+        self._place(states)
+
+    def _place(self, states: list[dict[int, int]]) -> None:
+        """Find offsets for the rows, longest first, in a table of four times the edges."""
+        size = 4 * sum(map(len, states)) + 1
+        used, rnd = bytearray(size + self.pad + 1), random.Random(0)
+        self.offset = np.zeros(len(states), np.int32)
+        self.owner, self.target = np.full(len(used), -1, np.int32), np.zeros(len(used), np.int32)
+        for state in sorted(range(len(states)), key=lambda i: -len(states[i])):
+            edges = states[state]
+            if not edges:
+                break
+            at = int(rnd.random() * size)
+            while any(used[at + s] for s in edges):
+                at = int(rnd.random() * size)
+            self.offset[state] = at
+            for s, to in edges.items():
+                used[at + s] = 1
+                self.owner[at + s], self.target[at + s] = state, to
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """Language and score of whole texts."""
@@ -128,24 +139,27 @@ class LanguageModel:
         n = kept[ends] - kept[ends - sizes]
         codes = codes[keep]
         blocks = -(-n // BLOCK)
-        grid = np.full((int(blocks.sum()), BLOCK), self.pad, np.uint8)
+        grid = np.full((int(blocks.sum()), BLOCK), self.pad, np.int32)
         doc_start = np.cumsum(blocks) - blocks
         where = np.arange(len(codes)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(doc_start * BLOCK, n)
         grid.ravel()[where] = codes
-        phrases = self._parse(np.ascontiguousarray(grid.T).astype(np.int32))
+        phrases = self._parse(np.ascontiguousarray(grid.T))
         total = np.concatenate((np.zeros((len(self.languages), 1)), np.cumsum(phrases, axis=1)), axis=1)
         cost = (total[:, doc_start + blocks] - total[:, doc_start]) * np.array(self.bits)[:, None]
         return self._choose(cost, letters)
 
     def _parse(self, grid: np.ndarray) -> np.ndarray:
         """Phrases of each block under each language; all blocks advance together, character by character."""
-        state = np.repeat(np.array(self.roots, np.int32)[:, None], grid.shape[1], axis=1)
-        ended = np.ones(state.shape, np.int32)
-        for line in grid:
-            state += line
-            step = self.table.take(state)
-            ended += step & 1
-            state = step >> 1
+        ended = np.ones((len(self.languages), grid.shape[1]), np.int32)
+        # With the first character a phrase has just begun.
+        state = self.start.take(grid[0], axis=1)
+        for line in grid[1:]:
+            at = self.offset.take(state)
+            at += line
+            fits = self.owner.take(at) == state
+            state = np.where(fits, self.target.take(at), self.start.take(line, axis=1))
+            # The padding is behind all characters.
+            ended += ~fits & (line != self.pad)
         return ended
 
     def _choose(self, cost: np.ndarray, letters: np.ndarray) -> tuple[list[str], np.ndarray]:
@@ -163,7 +177,7 @@ class LanguageModel:
 
 @lru_cache(maxsize=2)
 def _unpacked(packed: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(packed), np.uint8)
+    return np.frombuffer(zlib.decompress(packed), np.int32)
 
 
 def train(docs: DataFrame) -> LanguageModel:
