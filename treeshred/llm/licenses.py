@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treeshred.llm.common import plain, read_documents
+from treeshred.llm.license_digests import DIGESTS
 
 _AS_IS = """THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE
 INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY
@@ -104,26 +105,35 @@ def digest(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
-def known_digests(spark: SparkSession, texts: dict[str, str] = TEXTS, notices: dict[str, str] = NOTICES) -> DataFrame:
-    """digest, license, whole: canonical digests of the known texts and notices, in the way documents are digested."""
+def known_digests(spark: SparkSession, texts: dict[str, str] = TEXTS, notices: dict[str, str] = NOTICES,
+                  digests: dict[str, str] = DIGESTS) -> DataFrame:
+    """digest, license, whole: canonical digests of the known texts and notices, in the way documents are digested.
+
+    ``digests`` are of longer texts and headers, by digest; they are taken as they are.
+    """
     rows = [(t, name, True) for name, t in texts.items()] + [(t, name, False) for t, name in notices.items()]
     listed = F.array(*[F.struct(F.lit(t).alias("text"), F.lit(name).alias("license"), F.lit(w).alias("whole")) for t, name, w in rows])
     table = spark.range(1).select(F.explode(listed).alias("k")).select("k.*")
-    return (canonical_lines(table).select(digest(F.array_join("lines", " ")).alias("digest"), "license", "whole")
-            .dropDuplicates(["digest"]))
+    found = canonical_lines(table).select(digest(F.array_join("lines", " ")).alias("digest"), "license", "whole")
+    if digests:
+        given = F.array(*[F.struct(F.lit(d).alias("digest"), F.lit(name).alias("license"), F.lit(True).alias("whole"))
+                          for d, name in digests.items()])
+        found = found.unionByName(spark.range(1).select(F.explode(given).alias("k")).select("k.*"))
+    return found.dropDuplicates(["digest"])
 
 
-def license_scan(docs: DataFrame, texts: dict[str, str] = TEXTS, notices: dict[str, str] = NOTICES) -> DataFrame:
+def license_scan(docs: DataFrame, texts: dict[str, str] = TEXTS, notices: dict[str, str] = NOTICES,
+                 digests: dict[str, str] = DIGESTS) -> DataFrame:
     """One row per document: doc_id, text_digest, license, notices.
 
-    ``license`` is the known licence whose entire canonical text, or notice, is the document's; found by a
+    ``license`` is the known licence whose entire canonical text, standard header or notice is the document's; found by a
     hash join of digests with the known ones, whose number is fixed. ``notices`` are the sorted licences whose notice is
     an entire line of the document, found in the same digests. Null and empty texts, and texts of punctuation or copyright lines
     alone, have the digest of the empty text and no licence. Rows are independent: repeated rows and null ids pass
     through; extra columns are dropped; an empty table gives an empty result.
     """
     spark = docs.sparkSession
-    known = known_digests(spark, texts, notices)
+    known = known_digests(spark, texts, notices, digests)
     notes = known.where(~F.col("whole")).collect()
     rows = canonical_lines(plain(docs, "doc_id", "text")).withColumn("text_digest", digest(F.array_join("lines", " ")))
     if notes:
