@@ -1,6 +1,9 @@
 """Cases of the second round's findings."""
 
 from treeshred.plans.queries import QUERIES
+from treeshred.plans.shredder import Shredder
+from treeshred.sources import captures
+from treeshred.sources.tables import TableSink
 
 SF = "/root/testdata/sf0.001"
 
@@ -12,3 +15,26 @@ def test_mining_returns_speculative_rows(spark):
     assert trace.pop("Speculative") > 0
     assert trace == {r.outcome: r.n for r in QUERIES["mine_trace"](spark, SF).collect()}
     assert QUERIES["mine_classify_all"](spark, SF).where("phase = 1 AND outcome = 'Speculative'").count() > 0
+
+
+def test_sink_stores_whole_texts(spark, document, tmp_path):
+    long, many = "x" * 9000, ["y" * 1000] * 9
+    body = f'<field name="a" show="{long}"/>' + "".join(f'<field name="b" show="{v}"/>' for v in many) + '<field name="c" show="z"/>'
+    job = Shredder(captures.read_pieces(spark, document(f'<proto name="p">{body}</proto>'), depth=2))
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS sink_w LOCATION '{tmp_path}/w'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS sink_l LOCATION '{tmp_path}/l'")
+    TableSink(spark, "sink_w").write(job.rows(), job.layers())
+    row = spark.table("sink_w.p").first()
+    assert (row.a, row.b, row.c) == (long, "{ " + ", ".join(many) + " }", "z")
+    assert not spark.catalog.tableExists("sink_w._cuts")
+    sink = TableSink(spark, "sink_l", limit=True)
+    sink.write(job.rows(), job.layers(), batch=1)
+    sink.write(job.rows(), job.layers(), batch=1)
+    cut = spark.table("sink_l.p").first()
+    assert (len(cut.a), len(cut.b), cut.c) == (4000, 4000, "z")
+    found = {tuple(r) for r in spark.table("sink_l._cuts").select("table", "_id", "column", "truncated").collect()}
+    assert found == {("p", cut._id, "a", 5000), ("p", cut._id, "b", len(row.b) - 4000)}
+    assert spark.table("sink_l._cuts").count() == 2
+    sink._log(2, "", "started")
+    sink.write(job.rows(), job.layers(), batch=2)
+    assert spark.table("sink_l._cuts").count() == 2

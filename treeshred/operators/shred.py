@@ -192,13 +192,8 @@ def lineage(rows: DataFrame) -> DataFrame:
                              "file": F.when(below, F.col("src"))})
 
 
-def wide_table(rows: DataFrame, columns: dict[str, str], parents: list[str] | None = None,
-               profile: str = "text") -> DataFrame:
-    """Rows of one table as typed columns (F14, F18, F19); needs ``attach_parents`` for parent keys.
-
-    ``columns``: escaped column -> stored kind, as inferred or as given.
-    """
-    rows = lineage(rows)
+def _with_values(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Add the stored value of each column as ``_c0``, ``_c1``, ..."""
     resolved = "cols" in rows.columns
 
     def value(name: str) -> Column:
@@ -206,11 +201,33 @@ def wide_table(rows: DataFrame, columns: dict[str, str], parents: list[str] | No
             return F.get(F.filter("cols", lambda x: x["column"] == name), F.lit(0))
         return stored(picked(F.col("cells"), name))
 
-    rows = rows.withColumns({f"_c{i}": value(name) for i, name in enumerate(columns)})
+    return rows.withColumns({f"_c{i}": value(name) for i, name in enumerate(columns)})
+
+
+def cut_values(rows: DataFrame, table: str, columns: dict[str, str], profile: str = "text") -> DataFrame:
+    """table, _id, column, truncated characters of the values that ``wide_table`` cuts with ``limit``."""
+    cuts = [F.when(X.is_clipped(F.col(f"_c{i}")["kind"], F.col(f"_c{i}")["text"]), F.struct(
+                F.lit(name).alias("column"),
+                (F.length(F.col(f"_c{i}")["text"]) - F.length(X.clip(F.col(f"_c{i}")["kind"], F.col(f"_c{i}")["text"]))).alias("truncated")))
+            for i, (name, kind) in enumerate(columns.items()) if X.PROFILES[profile][kind] == "string"]
+    none = F.array().cast("array<struct<column:string,truncated:int>>")
+    found = _with_values(rows, columns).select(
+        row_id(F.col("src"), F.col("packet_no"), F.col("path")).alias("_id"), F.explode(F.array_compact(F.array(*cuts)) if cuts else none).alias("cut"))
+    return found.select(F.lit(table).alias("table"), "_id", "cut.column", "cut.truncated")
+
+
+def wide_table(rows: DataFrame, columns: dict[str, str], parents: list[str] | None = None,
+               profile: str = "text", limit: bool = False) -> DataFrame:
+    """Rows of one table as typed columns (F14, F18, F19); needs ``attach_parents`` for parent keys.
+
+    ``columns``: escaped column -> stored kind, as inferred or as given. Texts are whole, or with ``limit`` cut at the
+    limits of the profiles; ``cut_values`` tells which.
+    """
+    rows = _with_values(lineage(rows), columns)
     typed = []
     for i, (name, kind) in enumerate(columns.items()):
         v = F.col(f"_c{i}")
-        text = X.clip(v["kind"], v["text"]) if X.PROFILES[profile][kind] == "string" else v["text"]
+        text = X.clip(v["kind"], v["text"]) if limit and X.PROFILES[profile][kind] == "string" else v["text"]
         typed.append(X.to_type(text, kind, profile).alias(name))
     key = row_id(F.col("src"), F.col("packet_no"), F.col("path"))
     parent = row_id(F.col("src"), F.col("packet_no"), F.col("parent_path")) if "parent_path" in rows.columns else None

@@ -72,10 +72,10 @@ class Shredder:
         return S.layer_chain(stage(layers, "layers"), self.filters)
 
     def table(self, name: str, columns: dict[str, str], parents: list[str] | None = None,
-              chain: bool = True, profile: str = "text") -> DataFrame:
+              chain: bool = True, profile: str = "text", limit: bool = False) -> DataFrame:
         """One output table with the given columns. ``chain=False`` skips the layer chain
         when every parent of the table is known to lie in the same layer."""
         rows = self.rows(name)
         if parents:
             rows = S.attach_parents(rows, self.layers() if chain else None, self.filters)
-        return S.wide_table(rows, columns, parents, profile)
+        return S.wide_table(rows, columns, parents, profile, limit)
