@@ -14,7 +14,7 @@ DIR = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_sql(spark, name):
     table = duckdb.connect()
-    for t in ("documents", "labels"):
+    for t in ("documents", "labels", "conversations"):
         table.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DIR}/{t}.parquet'")
     expected = table.sql(queries.ORACLES[name]).df()
     got = queries.QUERIES[name](spark, DIR).toPandas()
