@@ -7,8 +7,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-KEYS_PER_BUCKET = 4
-MAX_TRIALS = 1 << 20
+KEYS_PER_BUCKET = 3
+# Displacements tried at a time, and at most.
+TRIALS = 64
+MAX_TRIALS = 1 << 22
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -41,13 +43,8 @@ def build(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray
         if sizes[b] < 2:
             break
         keys = order[ends[b] - sizes[b]:ends[b]]
-        for d in range(MAX_TRIALS):
-            to = _slots(second[keys], np.array([d], np.uint64), np.uint64(n))
-            if free[to].all() and len(np.unique(to)) == len(to):
-                break
-        else:
-            raise ValueError("keys with equal digests have no perfect hash")
-        shift[b], slots[keys], free[to] = d, to, False
+        shift[b], to = _first_fit(second[keys], free)
+        slots[keys], free[to] = to, False
     alone = np.flatnonzero(sizes == 1)
     left = np.flatnonzero(free)
     shift[alone] = -1 - left
@@ -55,6 +52,16 @@ def build(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return shift, slots
 
 
+def _first_fit(second: np.ndarray, free: np.ndarray) -> tuple[int, np.ndarray]:
+    """The smallest displacement that sends keys to free slots, all different, and these slots; TRIALS are tried at a time."""
+    for at in range(0, MAX_TRIALS, TRIALS):
+        to = _slots(second, np.arange(at, at + TRIALS, dtype=np.uint64)[:, None], np.uint64(len(free)))
+        for d in np.flatnonzero(free[to].all(axis=1)):
+            if len(set(to[d].tolist())) == len(second):
+                return at + int(d), to[d]
+    raise ValueError("keys with equal digests have no perfect hash")
+
+
 def _slots(second: np.ndarray, shift: np.ndarray, n: np.ndarray) -> np.ndarray:
     return (_spread(second + shift * _GOLD) % n).astype(np.int64)
 
