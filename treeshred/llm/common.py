@@ -15,6 +15,8 @@ SPACES = r"[\x20\x09-\x0D]+"
 # Lower-cases A-Z only. It works on UTF-8 bytes, as bytes of longer characters are all above 127.
 FOLD = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 CHUNK_CHARS = 1 << 18
+# Narrow rows that are sent to all executors at most; more are joined by a shuffle.
+BROADCAST_ROWS = 500_000
 
 
 def fold(text: str | None) -> bytes:
@@ -55,6 +57,32 @@ def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def checked_broadcast(rows: DataFrame) -> DataFrame:
+    """A written table of narrow rows, to be sent around where it has at most BROADCAST_ROWS."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
+def without_marked(docs: DataFrame, digest: Column, marks: DataFrame) -> DataFrame:
+    """Rows of ``docs`` except those that marks name, columns unchanged.
+
+    ``marks`` is a written table of doc_id, th, times, goes: rows of this id and ``digest`` go, or, where ``goes`` is
+    false, are ``times`` equal rows of which one stays, the one whose columns have the largest digest. Whole rows are joined
+    with the marks once, and not moved while the marks are few; rows to merge are read apart, and only if there are any. Extra
+    columns of any name are kept, as the row is packed in one column.
+    """
+    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest.alias("th"),
+                         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept_row"))
+    named = marks.select(F.col("doc_id").alias("m_id"), F.col("th").alias("m_th"), "goes")
+    same = F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("th") == F.col("m_th"))
+    left = packed.join(checked_broadcast(named), same, "left_anti").select("kept_row.*")
+    repeated = named.where("NOT goes")
+    if repeated.isEmpty():
+        return left
+    merged = (packed.join(checked_broadcast(repeated), same, "left_semi").groupBy("doc_id", "th")
+              .agg(F.max_by("kept_row", F.xxhash64(F.to_json("kept_row"))).alias("kept_row")))
+    return left.unionAll(merged.select("kept_row.*"))
+
+
 @contextmanager
 def rows_per_batch(spark: SparkSession, n: int):
     """Smaller Arrow batches for what is written meanwhile, where a row holds several whole texts."""

@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeshred.llm.common import fold, plain, read_documents, text_column
+from treeshred.llm.common import fold, plain, read_documents, text_column, without_marked
 from treeshred.session import stage
 
 BLOCK_BYTES = 512
@@ -173,22 +173,18 @@ def exact_groups(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 def drop_copies(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` for each text, that of the largest doc_id, columns unchanged.
 
-    Rows that go are found by id and digest, in a join that Spark splits where one of them is frequent; the
-    texts themselves move only if the rows to drop are too many to send around. Repeated rows of one id and text are
-    reduced to the one whose columns have the largest digest. Extra columns of any name are kept, as the row is packed in one column.
+    Block names decide on narrow rows which (doc_id, digest) go; the rows themselves are joined once with these
+    (``without_marked``). Repeated rows of one id and text are reduced to the one whose columns have the largest digest. Extra
+    columns of any name are kept.
     """
     named = stage(identities(docs), "copies-names")
-    groups = stage(named.groupBy("level", "name").agg(F.max("doc_id").alias("keep_id"), F.sum("n").alias("size"),
-                                                      F.first("sha").alias("sha")).where("size > 1"), "copies-groups")
+    groups = named.groupBy(F.col("level").alias("g_level"), F.col("name").alias("g_name")).agg(
+        F.max("doc_id").alias("keep_id"), F.sum("n").alias("size")).where("size > 1")
+    marks = (named.join(groups, (F.col("level") == F.col("g_level")) & (F.col("name") == F.col("g_name")))
+             .select("doc_id", F.col("sha").alias("th"), F.col("n").alias("times"), (~F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("goes"))
+             .where("goes OR times > 1"))
     fold_ascii = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.sha2(fold_ascii, 256)).alias("sha"),
-                         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept_row"))
-    dropped = groups.select(F.col("sha").alias("g_sha"), "keep_id")
-    marked = packed.join(dropped, F.col("sha") == F.col("g_sha"), "left")
-    single = marked.where(F.col("g_sha").isNull()).select("kept_row.*")
-    chosen = marked.where(F.col("g_sha").isNotNull() & F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    one = chosen.groupBy("g_sha").agg(F.max_by("kept_row", F.xxhash64(F.to_json("kept_row"))).alias("kept_row"))
-    return single.unionAll(one.select("kept_row.*"))
+    return without_marked(docs, F.unhex(F.sha2(fold_ascii, 256)), stage(marks, "copies-marks"))
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

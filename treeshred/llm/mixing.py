@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from treeshred.llm.common import plain, read_documents, word_count
+from treeshred.llm.common import checked_broadcast, plain, read_documents, word_count
 from treeshred.session import stage
 
 WEIGHTS = (1, 2, 3)
@@ -109,12 +109,35 @@ def with_copies(measured: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rep
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
     """The mixed corpus: rows of ``docs``, each as often as the mix takes it, columns unchanged.
 
-    Extra columns are kept; their names may be any, as the work is done on the table packed in one column.
+    Narrow rows (id, source, size, digest) are ranked; the rows themselves are joined once with the copies of theirs. Rows
+    that repeat id, source and text share their copies: each gets as many, and the one whose columns have the largest digest what
+    is left. Copies are rows like their original, in no special place. Extra columns of any name are kept.
     """
-    packed = docs.select("doc_id", "source", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("mix_row"))
-    taken = with_copies(measure(packed), weights, max_repeat).where("copies > 0")
-    return (taken.select("mix_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("mix_copy"))
-            .select("mix_row.*"))
+    names = ["doc_id", "source", "mix_text"]
+    packed = docs.select("doc_id", "source", F.xxhash64("text").alias("mix_text"), "text",
+                         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("mix_row"))
+    narrow = stage(measure(packed).select(*names, "mix_size", "mix_key"), "mix-narrow")
+    taken = with_copies(narrow, weights, max_repeat).groupBy(*names).agg(
+        F.count(F.lit(1)).alias("mix_times"), F.sum("copies").alias("mix_copies"))
+    taken = stage(taken.select(*[F.col(c).alias(f"t_{c}") for c in names], "mix_times", "mix_copies"), "mix-taken")
+    same = F.lit(True)
+    for c in names:
+        same = same & F.col(c).eqNullSafe(F.col(f"t_{c}"))
+    once, again = taken.where("mix_times = 1 AND mix_copies > 0"), taken.where("mix_times > 1 AND mix_copies > 0")
+    rows = packed.select(*names, "mix_row")
+    out = _repeated(rows.join(checked_broadcast(once), same), F.col("mix_copies"))
+    if again.isEmpty():
+        return out
+    shared = rows.join(checked_broadcast(again), same)
+    rest = shared.groupBy(*names).agg(F.max_by("mix_row", F.xxhash64(F.to_json("mix_row"))).alias("mix_row"),
+                                      F.first(F.col("mix_copies") % F.col("mix_times")).alias("mix_rest"))
+    return (out.unionAll(_repeated(shared, F.floor(F.col("mix_copies") / F.col("mix_times"))))
+            .unionAll(_repeated(rest, F.col("mix_rest"))))
+
+
+def _repeated(rows: DataFrame, times: Column) -> DataFrame:
+    return (rows.withColumn("mix_n", times.cast("int")).where("mix_n > 0")
+            .select("mix_row", F.explode(F.sequence(F.lit(1), F.col("mix_n"))).alias("mix_copy")).select("mix_row.*"))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

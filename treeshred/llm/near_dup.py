@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeshred.llm.common import fold, plain, read_documents, rows_per_batch, text_column
+from treeshred.llm.common import checked_broadcast, fold, plain, read_documents, rows_per_batch, text_column, without_marked
 from treeshred.llm.components import components
 from treeshred.session import stage
 
@@ -28,7 +28,6 @@ OPEN_PER_CLASS = 2
 MAX_LEADER_ROUNDS = 6
 # A coordinate value with more open pairs is joined on two values at once.
 HEAVY_PAIRS = 1_000_000
-BROADCAST_ROWS = 500_000
 # Rows with two texts that go to Python at a time.
 TEXT_PAIRS = 256
 
@@ -104,8 +103,9 @@ def _sketches(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Reco
 
 
 def _small_enough(percent: int):
-    """Sets whose sizes differ too much can't be similar."""
-    return F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+    """Sets whose sizes differ too much, or that share too little with any other class, can't be similar."""
+    return ((F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+            & (F.least("shared_a", "shared_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent))
 
 
 def prefixes(classes: DataFrame) -> DataFrame:
@@ -135,10 +135,8 @@ def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, p
                   .where(F.size(F.array_intersect("sig_a", "sig_b")) >= MATCHES).select("a", "b"), f"{label}-close")
     wanted = close.select(F.col("a").alias("rid")).unionAll(close.select(F.col("b").alias("rid"))).distinct()
     wanted = stage(classes.join(wanted, "rid", "left_semi").select("rid", "rep"), f"{label}-wanted")
-    # Texts are fetched for these classes alone; beyond the checked size the join shuffles.
-    small = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
-    texts = docs.join(small, F.col("doc_id").eqNullSafe(F.col("rep.doc_id")) & (F.col("th") == F.col("rep.th")))
-    texts = stage(texts.groupBy("rid").agg(F.first("text").alias("text")), f"{label}-texts")
+    # Texts are fetched for these classes alone.
+    texts = stage(_representatives(wanted, docs).groupBy("rid").agg(F.first("text").alias("text")), f"{label}-texts")
     both = (close.join(texts.select(F.col("rid").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("rid").alias("b"), F.col("text").alias("text_b")), "b"))
 
@@ -172,6 +170,43 @@ def _labelled(postings: DataFrame, links: DataFrame, label: str) -> DataFrame:
             .withColumn("comp", F.coalesce("root", "rid")).drop("root"))
 
 
+def _representatives(classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """rid, text: the text of each class's representative, once for each row that repeats it.
+
+    ``classes`` is a written table.
+    """
+    return (docs.join(checked_broadcast(classes), F.col("doc_id").eqNullSafe(F.col("rep.doc_id")) & (F.col("th") == F.col("rep.th")))
+            .select("rid", "text"))
+
+
+def _able(postings: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Postings of classes that share enough shingles with the other open ones to be similar to any, with that number, ``shared``.
+
+    Two sets are similar only if they have percent / (100 + percent) of both sizes in common, and none has more in common with another
+    than its shingles that some other open class holds. So in a large group of texts that each differ from one original
+    those that differ too much go at once, exactly, and are not compared with all the others.
+    """
+    live = stage(classes.join(postings.select("rid").distinct(), "rid", "left_semi").select("rid", "rep"), "near-live")
+
+    def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _WordHashes()
+        for batch in batches:
+            for rid, text in zip(batch.column(0).to_pylist(), text_column(batch)):
+                if len(known) > MAX_CACHED_WORDS:
+                    known.clear()
+                found = shingle_hashes(text, words, known).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), rid, np.int64)), pa.array(found)], names=["rid", "h"])
+
+    alone = (_representatives(live, docs).mapInArrow(exploded, "rid long, h long").groupBy("h")
+             .agg(F.min("rid").alias("rid"), F.max("rid").alias("last")).where("rid = last")
+             .groupBy("rid").agg(F.count(F.lit(1)).alias("alone")))
+    counted = stage(alone, "near-alone")
+    least = postings.groupBy("value").agg(F.min("n").alias("least"))
+    return (postings.drop("shared").join(counted, "rid", "left").withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0)))
+            .join(least, "value").where(F.col("shared") * (100 + percent) >= (F.col("n") + F.col("least")) * percent)
+            .drop("alone", "least"))
+
+
 def _open_pairs(postings: DataFrame) -> DataFrame:
     """value, n_open: pairs of different components under each coordinate value that has any."""
     sizes = postings.groupBy("value", "comp").agg(F.count(F.lit(1)).alias("m"))
@@ -188,8 +223,8 @@ def class_links(classes: DataFrame, docs: DataFrame, words: int, percent: int) -
     is compared: a pair within one component could only repeat what is known. So no link between components is lost.
     """
     held = stage(prefixes(classes), "near-prefixes")
-    postings = held.select("rid", "n", "reach", F.explode(F.slice("values", 1, F.col("base"))).alias("value")).withColumn(
-        "comp", F.col("rid"))
+    postings = held.select("rid", "n", "reach", F.explode(F.slice("values", 1, F.col("base"))).alias("value")).withColumns(
+        {"comp": F.col("rid"), "shared": F.col("n")})
     found, tested, n_classes, before = [], None, classes.count(), 0
     for step in range(MAX_LEADER_ROUNDS):
         # The first leader is the class that shares most with others, later ones are any.
@@ -203,15 +238,20 @@ def class_links(classes: DataFrame, docs: DataFrame, words: int, percent: int) -
             break
         before = total
         live = postings.join(open_pairs.select("value"), "value", "left_semi")
-        leaders = stage(live.groupBy("value").agg(F.max(F.struct(order.alias("o"), "rid", "n", "comp")).alias("top")),
+        leaders = stage(live.groupBy("value").agg(F.max(F.struct(order.alias("o"), "rid", "n", "comp", "shared")).alias("top")),
                         f"near-leaders-{step}")
         pairs = (live.join(leaders, "value").where(F.col("comp") != F.col("top.comp"))
-                 .select(F.col("rid").alias("a"), F.col("top.rid").alias("b"), F.col("n").alias("n_a"), F.col("top.n").alias("n_b"))
+                 .select(F.col("rid").alias("a"), F.col("top.rid").alias("b"), F.col("n").alias("n_a"), F.col("top.n").alias("n_b"),
+                         F.col("shared").alias("shared_a"), F.col("top.shared").alias("shared_b"))
                  .where(_small_enough(percent)).select("a", "b"))
         pairs = stage(pairs.distinct(), f"near-pairs-{step}")
         found.append(_verify(pairs, classes, docs, words, percent, f"near-{step}"))
         tested = pairs if tested is None else tested.unionAll(pairs)
         postings = _labelled(postings, _all(found), f"near-components-{step}")
+        if step == 0:
+            # What the first leaders leave open is bounded by its own sets before it is compared any further.
+            postings = stage(postings, "near-first")
+            postings = _able(postings.join(_open_pairs(postings).select("value"), "value", "left_semi"), classes, docs, words, percent)
     else:
         postings = stage(postings, "near-postings")
         open_pairs = stage(_open_pairs(postings), "near-open")
@@ -225,7 +265,7 @@ def class_links(classes: DataFrame, docs: DataFrame, words: int, percent: int) -
         second = held.select("rid", F.posexplode("values").alias("at", "second"), "values")
         first = postings.join(heavy, "value", "left_semi")
         two = (first.join(second, "rid").where(F.col("at") >= F.array_position("values", F.col("value")))
-               .select("rid", "n", "comp", "value", "second"))
+               .select("rid", "n", "comp", "shared", "value", "second"))
         pairs = pairs.unionAll(_across(stage(two, "near-two"), ["value", "second"], percent))
     pairs = stage(pairs.distinct(), "near-open-pairs")
     known = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
@@ -235,7 +275,7 @@ def class_links(classes: DataFrame, docs: DataFrame, words: int, percent: int) -
 
 def _across(postings: DataFrame, key: list[str], percent: int) -> DataFrame:
     """Pairs a < b under one key that lie in different components and may be similar by size."""
-    side = [postings.select(*key, *[F.col(c).alias(f"{c}_{x}") for c in ("rid", "n", "comp")]) for x in "ab"]
+    side = [postings.select(*key, *[F.col(c).alias(f"{c}_{x}") for c in ("rid", "n", "comp", "shared")]) for x in "ab"]
     return (side[0].join(side[1], key).where((F.col("rid_a") < F.col("rid_b")) & (F.col("comp_a") != F.col("comp_b")))
             .where(_small_enough(percent)).select(F.col("rid_a").alias("a"), F.col("rid_b").alias("b")))
 
@@ -297,15 +337,8 @@ def drop_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PER
     """
     found = near_duplicates(docs, words, percent).groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("times"), F.first("winner").alias("w"))
     goes = ~(F.col("doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("th") == F.col("w.th")))
-    marks = stage(found.select(F.col("doc_id").alias("m_id"), F.col("th").alias("m_th"), "times", goes.alias("goes"))
-                  .where("goes OR times > 1"), "near-marks")
-    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("th"),
-                         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept_row"))
-    marked = packed.join(marks, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("th") == F.col("m_th")), "left")
-    single = marked.where(F.col("m_th").isNull()).select("kept_row.*")
-    repeated = (marked.where("NOT goes").groupBy("doc_id", "th")
-                .agg(F.max_by("kept_row", F.xxhash64(F.to_json("kept_row"))).alias("kept_row")))
-    return single.unionAll(repeated.select("kept_row.*"))
+    marks = stage(found.select("doc_id", "th", "times", goes.alias("goes")).where("goes OR times > 1"), "near-marks")
+    return without_marked(docs, F.coalesce(F.xxhash64("text"), F.lit(0)), marks)
 
 
 def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,3 +346,20 @@ def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read_documents(spark, sf_dir), words=2)
     return found.select("doc_id", "n_shingles", "component_id",
                         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+OP8_SQL = rf"""
+WITH RECURSIVE words AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+         ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM words),
+item AS (SELECT r, len(s) AS n, unnest(s) AS x FROM sets),
+link AS (SELECT a.r AS a, b.r AS b FROM item AS a JOIN item AS b ON a.x = b.x AND a.r <> b.r
+         AND 100 * least(a.n, b.n) >= {PERCENT} * greatest(a.n, b.n)
+         GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= {PERCENT} * (a.n + b.n - count(*))),
+reach AS (SELECT r, r AS root FROM sets UNION SELECT link.b, reach.root FROM reach JOIN link ON link.a = reach.r),
+part AS (SELECT reach.r, min(sets.doc_id) AS component_id FROM reach JOIN sets ON sets.r = reach.root GROUP BY reach.r)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, coalesce(doc_id = component_id, false) AS kept
+FROM sets JOIN part USING (r)
+"""

@@ -27,6 +27,7 @@ ORACLES = {
     "op2_quality_verdict": quality_rules.OP2_VERDICT_SQL,
     "op4_exact_dedup": exact_dedup.OP4_SQL,
     "op7_licenses": licenses.OP7_SQL,
+    "op8_near_dup": near_dup.OP8_SQL,
     "op10_mixing": mixing.OP10_SQL,
     "op11_source_divergence": divergence.OP11_SQL,
     "op12_prefix_trie": prefix_trie.OP12_SQL,
