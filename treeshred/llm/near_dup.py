@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treeshred.llm.common import checked_broadcast, fold, plain, read_documents, rows_per_batch, text_column, without_marked
@@ -26,8 +27,8 @@ MAX_CACHED_WORDS = 100_000
 # Leader rounds go on while the pairs still open outnumber the classes by this factor and the last round settled half of them.
 OPEN_PER_CLASS = 2
 MAX_LEADER_ROUNDS = 6
-# A coordinate value with more open pairs is joined on two values at once.
-HEAVY_PAIRS = 1_000_000
+# Sizes of sets that meet under one shingle lie within one such step.
+SIZE_STEP = 1.02
 # Rows with two texts that go to Python at a time.
 TEXT_PAIRS = 256
 
@@ -103,16 +104,15 @@ def _sketches(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Reco
 
 
 def _small_enough(percent: int):
-    """Sets whose sizes differ too much, or that share too little with any other class, can't be similar."""
-    return ((F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-            & (F.least("shared_a", "shared_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent))
+    """Sets whose sizes differ too much can't be similar."""
+    return F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
 
 
 def prefixes(classes: DataFrame) -> DataFrame:
     """rid, n, reach, values: a class's coordinate values that other classes have too, rarest first, as far as pairs need them.
 
     Two signatures that agree in MATCHES coordinates share one of their
-    COORDINATES - MATCHES + 1 rarest values, and two of one more. Values
+    COORDINATES - MATCHES + 1 rarest values. Values
     of one class alone are its rarest and link nothing; they only fill places. The long
     lists of common values are so never merged.
     """
@@ -120,11 +120,10 @@ def prefixes(classes: DataFrame) -> DataFrame:
     common = stage(values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "near-common")
     held = values.join(common, "value").groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("held"))
     # At most COORDINATES entries a list.
-    places = COORDINATES - MATCHES + 2 - (COORDINATES - F.size("held"))
-    found = (held.where(places > 1)
+    places = COORDINATES - MATCHES + 1 - (COORDINATES - F.size("held"))
+    found = (held.where(places > 0)
              .select("rid", F.aggregate("held", F.lit(0).cast("long"), lambda s, x: s + x["df"]).alias("reach"),
-                     F.transform(F.slice("held", 1, places), lambda x: x["value"]).alias("values"),
-                     (places - 1).alias("base")))
+                     F.transform(F.slice("held", 1, places), lambda x: x["value"]).alias("values")))
     return found.join(classes.select("rid", "n"), "rid")
 
 
@@ -179,14 +178,17 @@ def _representatives(classes: DataFrame, docs: DataFrame) -> DataFrame:
             .select("rid", "text"))
 
 
-def _able(postings: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Postings of classes that share enough shingles with the other open ones to be similar to any, with that number, ``shared``.
+def _rare_pairs(members: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of ``members`` (rid, comp) in different components that meet in a shingle rare enough for similar sets.
 
-    Two sets are similar only if they have percent / (100 + percent) of both sizes in common, and none has more in common with another
-    than its shingles that some other open class holds. So in a large group of texts that each differ from one original
-    those that differ too much go at once, exactly, and are not compared with all the others.
+    Shingles are ordered by the number of members that hold them. If the first one that two sets share stands at places i and j, at
+    most n_a - i and n_b - j are shared, and similar sets share percent / (100 + percent) of both sizes: so each place has a largest
+    partner, which falls along the set, and common shingles at its end have none. A set is posted under its own size for partners
+    as large or larger, and under the sizes of smaller ones that its place allows, sizes in steps of SIZE_STEP. In a large group of texts that
+    each differ from one original by more than the threshold allows, only the differences are posted, so the group doesn't meet as a
+    whole. The condition is exact: no similar pair is left out.
     """
-    live = stage(classes.join(postings.select("rid").distinct(), "rid", "left_semi").select("rid", "rep"), "near-live")
+    members = stage(members.join(classes.select("rid", "n", "rep"), "rid"), "near-members-open")
 
     def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _WordHashes()
@@ -197,14 +199,31 @@ def _able(postings: DataFrame, classes: DataFrame, docs: DataFrame, words: int,
                 found = shingle_hashes(text, words, known).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), rid, np.int64)), pa.array(found)], names=["rid", "h"])
 
-    alone = (_representatives(live, docs).mapInArrow(exploded, "rid long, h long").groupBy("h")
-             .agg(F.min("rid").alias("rid"), F.max("rid").alias("last")).where("rid = last")
-             .groupBy("rid").agg(F.count(F.lit(1)).alias("alone")))
-    counted = stage(alone, "near-alone")
-    least = postings.groupBy("value").agg(F.min("n").alias("least"))
-    return (postings.drop("shared").join(counted, "rid", "left").withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0)))
-            .join(least, "value").where(F.col("shared") * (100 + percent) >= (F.col("n") + F.col("least")) * percent)
-            .drop("alone", "least"))
+    texts = _representatives(members.select("rid", "rep"), docs)
+    rows = stage(texts.mapInArrow(exploded, "rid long, h long"), "near-open-shingles")
+    common = rows.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    # One list of a set's own shingles; a set, as rows may repeat.
+    held = (rows.join(common, "h").groupBy("rid").agg(F.array_sort(F.collect_set(F.struct("df", "h"))).alias("held"))
+            .join(members.select("rid", "n", "comp"), "rid"))
+    least = F.ceil(F.col("n") * percent / 100)
+    alone = F.col("n") - F.size("held")
+    places = F.greatest(F.col("n") - least + 1 - alone, F.lit(0)).cast("int")
+    posted = (held.select("rid", "n", "comp", alone.alias("alone"), least.alias("least"), F.posexplode(F.slice("held", F.lit(1), places)).alias("at", "x"))
+              .withColumn("most", F.floor((F.col("n") - F.col("alone") - F.col("at")) * (100 + percent) / percent) - F.col("n"))
+              .where("most >= least").withColumn("h", F.col("x.h")))
+    posted = stage(posted.select("rid", "n", "comp", "h", "least", "most"), "near-open-postings")
+
+    def size_class(n) -> Column:
+        return F.floor(F.log(F.greatest(n, F.lit(1)).cast("double")) / math.log(SIZE_STEP)).cast("int")
+
+    names = ("rid", "n", "comp", "most")
+    own = posted.where("most >= n").select("h", size_class(F.col("n")).alias("size"), *[F.col(c).alias(f"{c}_a") for c in names])
+    larger = posted.select("h", F.explode(F.sequence(size_class(F.col("least")), size_class(F.least("most", "n")))).alias("size"),
+                           *[F.col(c).alias(f"{c}_b") for c in names])
+    return (own.join(larger, ["h", "size"])
+            .where((F.col("comp_a") != F.col("comp_b")) & (F.col("n_a") <= F.col("most_b")) & (F.col("n_b") <= F.col("most_a"))
+                   & ((F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("rid_a") < F.col("rid_b")))))
+            .select(F.least("rid_a", "rid_b").alias("a"), F.greatest("rid_a", "rid_b").alias("b")))
 
 
 def _open_pairs(postings: DataFrame) -> DataFrame:
@@ -219,12 +238,12 @@ def class_links(classes: DataFrame, docs: DataFrame, words: int, percent: int) -
     """a, b: links between classes that connect all that are similar, without all pairs of a large group.
 
     Leader rounds compare each class under a coordinate value with one other, so their pairs are at
-    most the postings. Then every pair that shares a value and is still in different components
-    is compared: a pair within one component could only repeat what is known. So no link between components is lost.
+    most the postings. Then the classes that share a value with one of another component are compared with each other, as far as their
+    rarest shingles let them be similar (``_rare_pairs``): a pair within one component could only repeat what is known. So no link between
+    components is lost.
     """
     held = stage(prefixes(classes), "near-prefixes")
-    postings = held.select("rid", "n", "reach", F.explode(F.slice("values", 1, F.col("base"))).alias("value")).withColumns(
-        {"comp": F.col("rid"), "shared": F.col("n")})
+    postings = held.select("rid", "n", "reach", F.explode("values").alias("value")).withColumn("comp", F.col("rid"))
     found, tested, n_classes, before = [], None, classes.count(), 0
     for step in range(MAX_LEADER_ROUNDS):
         # The first leader is the class that shares most with others, later ones are any.
@@ -238,48 +257,27 @@ def class_links(classes: DataFrame, docs: DataFrame, words: int, percent: int) -
             break
         before = total
         live = postings.join(open_pairs.select("value"), "value", "left_semi")
-        leaders = stage(live.groupBy("value").agg(F.max(F.struct(order.alias("o"), "rid", "n", "comp", "shared")).alias("top")),
+        leaders = stage(live.groupBy("value").agg(F.max(F.struct(order.alias("o"), "rid", "n", "comp")).alias("top")),
                         f"near-leaders-{step}")
         pairs = (live.join(leaders, "value").where(F.col("comp") != F.col("top.comp"))
-                 .select(F.col("rid").alias("a"), F.col("top.rid").alias("b"), F.col("n").alias("n_a"), F.col("top.n").alias("n_b"),
-                         F.col("shared").alias("shared_a"), F.col("top.shared").alias("shared_b"))
+                 .select(F.col("rid").alias("a"), F.col("top.rid").alias("b"), F.col("n").alias("n_a"), F.col("top.n").alias("n_b"))
                  .where(_small_enough(percent)).select("a", "b"))
         pairs = stage(pairs.distinct(), f"near-pairs-{step}")
         found.append(_verify(pairs, classes, docs, words, percent, f"near-{step}"))
         tested = pairs if tested is None else tested.unionAll(pairs)
         postings = _labelled(postings, _all(found), f"near-components-{step}")
-        if step == 0:
-            # What the first leaders leave open is bounded by its own sets before it is compared any further.
-            postings = stage(postings, "near-first")
-            postings = _able(postings.join(_open_pairs(postings).select("value"), "value", "left_semi"), classes, docs, words, percent)
     else:
         postings = stage(postings, "near-postings")
         open_pairs = stage(_open_pairs(postings), "near-open")
     if tested is None or open_pairs.isEmpty():
         return _all(found) if found else classes.select(F.col("rid").alias("a"), F.col("rid").alias("b")).where("false")
-    light = postings.join(open_pairs.where(F.col("n_open") <= HEAVY_PAIRS).select("value"), "value", "left_semi")
-    pairs = _across(light, ["value"], percent)
-    heavy = open_pairs.where(F.col("n_open") > HEAVY_PAIRS).select("value")
-    if not heavy.isEmpty():
-        # A pair shares two values of the longer prefix: under a heavy value only those that share a second one meet.
-        second = held.select("rid", F.posexplode("values").alias("at", "second"), "values")
-        first = postings.join(heavy, "value", "left_semi")
-        two = (first.join(second, "rid").where(F.col("at") >= F.array_position("values", F.col("value")))
-               .select("rid", "n", "comp", "shared", "value", "second"))
-        pairs = pairs.unionAll(_across(stage(two, "near-two"), ["value", "second"], percent))
-    pairs = stage(pairs.distinct(), "near-open-pairs")
+    members = postings.join(open_pairs.select("value"), "value", "left_semi").select("rid", "comp").distinct()
+    pairs = stage(_rare_pairs(members, classes, docs, words, percent).distinct(), "near-open-pairs")
     known = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = pairs.join(known, ["a", "b"], "left_anti")
     return _all([*found, _verify(pairs, classes, docs, words, percent, "near-rest")])
 
 
-def _across(postings: DataFrame, key: list[str], percent: int) -> DataFrame:
-    """Pairs a < b under one key that lie in different components and may be similar by size."""
-    side = [postings.select(*key, *[F.col(c).alias(f"{c}_{x}") for c in ("rid", "n", "comp", "shared")]) for x in "ab"]
-    return (side[0].join(side[1], key).where((F.col("rid_a") < F.col("rid_b")) & (F.col("comp_a") != F.col("comp_b")))
-            .where(_small_enough(percent)).select(F.col("rid_a").alias("a"), F.col("rid_b").alias("b")))
-
-
 def _all(found: list[DataFrame]) -> DataFrame:
     out = found[0]
     for part in found[1:]:
