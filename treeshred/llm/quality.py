@@ -25,8 +25,10 @@ TRAIN_DOCS = 1000
 BUCKETS = 1 << 16
 EPOCHS = 150
 THRESHOLD = 0.5
-# A labeller's bound is set so wide that it accuses at most this share of the good documents.
-MOST_FALSE = 0.001
+# Beta prior of a labeller's false accusations: its mean is the share of unaccused documents that it leaves undecided, and at least
+# LEAST_FALSE; it weighs FALSE_WEIGHT times all documents.
+LEAST_FALSE = 0.001
+FALSE_WEIGHT = 100
 MAX_CACHED_WORDS = 50_000
 
 # Measures of a text, and for each a labeller: (measure, good up to, bad from). Between them, and for few words, it abstains.
@@ -103,24 +105,30 @@ class LabelModel:
 def estimate(patterns: list[str], counts: list[int], rounds: int = 50) -> LabelModel:
     """Expectation-maximisation over all documents, given as counts of vote patterns.
 
-    Each labeller looks for one fault, so most of them are content with any bad document. It therefore starts
-    with the belief that a bad vote is nearly always right, and learns from the overlaps how often each one is, where false accusations stay below MOST_FALSE. Without
-    these two it would settle on the one fault that most labellers see, as their votes on it aren't independent.
+    Each labeller looks for one fault, so most of them are content with any bad document, and votes of one labeller alone may be either a
+    fault that only it can see or false accusations: overlaps can't tell these apart. It therefore starts with the belief that a bad vote is
+    nearly always right, and false accusations have a Beta prior. Values of good documents that reach a labeller's bad side
+    run through its undecided range, too: so the share of documents on which it abstains, of those that no labeller accuses, is the mean of that prior. All-abstaining
+    documents, which are too short to judge, don't count. Hits on bad documents have a flat prior.
     """
     k = len(LABELLERS)
     codes = np.array([[int(c) for c in p] for p in patterns], np.int64).reshape(len(patterns), k)
     weight = np.array(counts, float)
+    silent = (codes == ABSTAIN).all(axis=1)
+    judged = weight[~silent].sum()
+    clean = weight * ~silent * ~(codes == BAD).any(axis=1)
+    unsure = (codes == ABSTAIN).T @ clean / max(clean.sum(), 1)
+    mean = np.clip(unsure, LEAST_FALSE, 0.5)
     good = np.where((codes == BAD).any(axis=1), 0.01, 0.999)
-    good[(codes == ABSTAIN).all(axis=1)] = 0.9
+    good[silent] = 0.9
     model = LabelModel(0.1, np.full((k, 2, 3), 1 / 3))
     for _ in range(rounds):
         table = np.empty((k, 2, 3))
         for i in range(k):
             for c, share in enumerate((good, 1 - good)):
-                seen = np.bincount(codes[:, i], weight * share, 3) + np.array([1.0, 1.0, 1.0])
+                prior_votes = max(FALSE_WEIGHT * judged, 1) * np.array([0.0, 1 - mean[i], mean[i]]) if c == 0 else np.ones(3)
+                seen = np.bincount(codes[:, i], weight * share, 3) + prior_votes
                 table[i, c] = seen / seen[1:].sum()
-            table[i, 0, BAD] = min(table[i, 0, BAD], MOST_FALSE)
-            table[i, 0, GOOD] = 1 - table[i, 0, BAD]
         total = weight.sum()
         prior = float(np.clip(((1 - good) * weight).sum() / total if total else 0.1, 0.001, 0.5))
         model = LabelModel(prior, table)
