@@ -53,22 +53,57 @@ def test_many_repeated_values_take_linear_time(spark, document):
     assert kind == V.ARRAY and text.count(",") == 59_999
 
 
-def test_required_depth(spark, document):
-    levels = 12
-    body = "".join(f'<field name="n{i}" show="{i}">' for i in range(levels)) + "</field>" * levels
-    path = document(f'<proto name="p">{body}</proto>')
-    depth = captures.required_depth(spark, path, start=3)
-    assert depth == 12
-    nodes = explode_nodes(captures.read_pieces(spark, path, depth)).where("protocol = 'p' and type = 'field'")
-    got = {r["name"]: (r["show"], r["reject"]) for r in nodes.collect()}
-    assert got == {f"n{i}": (str(i), None) for i in range(levels)}
-
-
-def test_too_deep_is_reported(spark, document):
-    body = "".join(f'<field name="n{i}">' for i in range(6)) + "</field>" * 6
-    pieces = captures.read_pieces(spark, document(f'<proto name="p">{body}</proto>'), depth=2)
-    nodes = explode_nodes(pieces)
-    assert [r["reason"] for r in Q.node_rejects(nodes).collect()] == ["tree too deep"]
+def nodes_by_path(nodes):
+    rows = nodes.where("protocol = 'p'").collect()
+    return {tuple(r["path"]): (r["name"], r["show"], r["table"], tuple(r["anc"]), r["branch"], r["reject"], tuple(r["order_path"])) for r in rows}
+
+
+def test_deep_trees_are_read_a_few_levels_at_a_time(spark, document):
+    levels = 13
+    deep = "".join(f'<field name="n{i}" show="{i}"><field show="leaf {i}"/>' for i in range(levels)) + "</field>" * levels
+    # Bad children on both sides of a border: they go with their subtree and don't make their parent a branch.
+    edge = ('<field name="a"><field name="b"><field name="c" show="1"><field name="d" size="zz"><field name="e"/></field></field></field></field>'
+            '<field name="a"><field name="b"><field name="c" show="2 &gt; &quot;1&quot;"><field name="d" show="&lt;x&gt;"><field name="e"/></field></field></field></field>')
+    path = document(f'<proto name="p">{deep}{edge}</proto>', f'<proto name="p"><field name="flat" show="1"/>{deep}</proto>')
+    whole = nodes_by_path(explode_nodes(captures.read_pieces(spark, path, depth=20)).where("packet_no = 0"))
+    for depth in (1, 2, 3, 4):
+        nodes = explode_nodes(captures.read_pieces(spark, path, depth=depth))
+        assert nodes_by_path(nodes.where("packet_no = 0")) == whole
+        assert nodes.where("packet_no = 1 and protocol = 'p'").count() == 2 + 2 * levels
+    assert len(whole) == 1 + 2 * levels + 9 and sum(v[5] is not None for v in whole.values()) == 1
+
+
+def test_one_bad_packet_is_one_reject(spark, tmp_path):
+    good = '<packet>\n<proto name="geninfo"><field name="num" show="{}"/><field name="timestamp" show="Jan  2, 2011 03:04:05.0"/></proto><proto name="p"><field name="x" show="{}"/></proto></packet >'
+    bad = ['<packet><proto name="p"><field name=x/></proto></packet>', '<packet><proto name="p"><field name="x" show="never closed"/></proto>',
+           '<packet><proto name="p"></packet>', '<packet a="1"><proto name="p" size="zz"/></packet>']
+    body = "".join(good.format(i, i) + broken for i, broken in enumerate(bad)) + good.format(9, 9)
+    (tmp_path / "a.xml").write_text(f'<?xml version="1.0"?><packets note="&lt;packet"><pdml>{body}</pdml></packets>')
+    (tmp_path / "b.xml").write_text("<pdml>" + good.format(1, "b") + '<packet/><packet><proto name="p">')
+    trees = captures.read_trees(spark, str(tmp_path))
+    rows = Shredder(captures.tree_pieces(trees)).table("p", {"x": V.TEXT}).collect()
+    assert sorted((r["_number"], r["x"]) for r in rows) == [(0, "0"), (1, "1"), (1, "b"), (2, "2"), (3, "3"), (9, "9")]
+    rejects = sorted((r["file"][-5:], r["position"], r["reason"]) for r in captures.packet_rejects(trees).collect())
+    assert rejects == [("a.xml", i, "malformed packet") for i in (1, 3, 5)] + [("a.xml", 7, "bad size or position in a layer"), ("b.xml", 2, "malformed packet")]
+
+
+def test_packets_are_told_apart_by_place_for_any_split(spark, tmp_path):
+    packet = '<packet><proto name="geninfo"><field name="num" show="7"/><field name="timestamp" show="Jan  2, 2011 03:04:05.0"/></proto><proto name="p"><field name="x" show="{}"/></proto></packet>\n'
+    for name in ("a.xml", "b.xml"):
+        (tmp_path / name).write_text("<pdml>" + "".join(packet.format(i) for i in range(500)) + "</pdml>")
+    want = None
+    for size in ("128m", "7000", "901"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            rows = Shredder(captures.read_pieces(spark, str(tmp_path), depth=2)).table("p", {"x": V.TEXT}).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        got = sorted((r["_id"], r["x"]) for r in rows)
+        want = want or got
+        assert got == want and len({i for i, _ in got}) == 1000
+    assert {i.split("/")[-2] for i, x in want if x == "499"} == {"499"}
 
 
 def test_bad_size_drops_subtree_only(spark, document):
@@ -80,9 +115,9 @@ def test_bad_size_drops_subtree_only(spark, document):
 
 def test_bad_layer_rejects_packet(spark, document):
     path = document('<proto name="p" size="zz"><field name="x" show="1"/></proto>', '<proto name="q"><field name="x" show="1"/></proto>')
-    trees = captures.scan_trees(spark, path)
-    assert [r["packet_no"] for r in captures.packets(trees).collect()] == [2]
-    assert [r["position"] for r in captures.packet_rejects(trees).collect()] == [1]
+    trees = captures.read_trees(spark, path)
+    assert [r["packet_no"] for r in captures.packets(trees).collect()] == [1]
+    assert [r["position"] for r in captures.packet_rejects(trees).collect()] == [0]
 
 
 def test_packet_without_info_is_kept(spark, tmp_path):
@@ -134,7 +169,7 @@ def test_nameless_shapes(spark, document):
     body = ('<field show="one"/><field name="b" show="5"><field show="in b"/><field show="g"><field name="c" show="6"/></field></field>'
             '<field><field/></field><field><field name="c" show="7"/></field><field show="two"/><field/>')
     job = one(spark, document, body)
-    rows = S.resolve_columns(job.rows()).where("packet_no = 1 and table <> 'geninfo'")
+    rows = S.resolve_columns(job.rows()).where("packet_no = 0 and table <> 'geninfo'")
     got = sorted((r["table"], tuple(r["path"][1:]), tuple(sorted((c["column"], c["text"]) for c in r["cols"]))) for r in rows.collect())
     assert got == sorted([
         ("p", (), ()),

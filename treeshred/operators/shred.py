@@ -212,10 +212,14 @@ def cut_values(rows: DataFrame, table: str, columns: dict[str, str], profile: st
             for i, (name, kind) in enumerate(columns.items()) if X.PROFILES[profile][kind] == "string"]
     none = F.array().cast("array<struct<column:string,truncated:int>>")
     found = _with_values(rows, columns).select(
-        row_id(F.col("src"), F.col("packet_no"), F.col("path")).alias("_id"), F.explode(F.array_compact(F.array(*cuts)) if cuts else none).alias("cut"))
+        _key(rows, "path", "dense_id").alias("_id"), F.explode(F.array_compact(F.array(*cuts)) if cuts else none).alias("cut"))
     return found.select(F.lit(table).alias("table"), "_id", "cut.column", "cut.truncated")
 
 
+def _key(rows: DataFrame, path: str, dense: str) -> Column:
+    return F.col(dense) if dense in rows.columns else row_id(F.col("src"), F.col("packet_no"), F.col(path))
+
+
 def wide_table(rows: DataFrame, columns: dict[str, str], parents: list[str] | None = None,
                profile: str = "text", limit: bool = False) -> DataFrame:
     """Rows of one table as typed columns (F14, F18, F19); needs ``attach_parents`` for parent keys.
@@ -229,8 +233,8 @@ def wide_table(rows: DataFrame, columns: dict[str, str], parents: list[str] | No
         v = F.col(f"_c{i}")
         text = X.clip(v["kind"], v["text"]) if limit and X.PROFILES[profile][kind] == "string" else v["text"]
         typed.append(X.to_type(text, kind, profile).alias(name))
-    key = row_id(F.col("src"), F.col("packet_no"), F.col("path"))
-    parent = row_id(F.col("src"), F.col("packet_no"), F.col("parent_path")) if "parent_path" in rows.columns else None
+    key = _key(rows, "path", "dense_id")
+    parent = _key(rows, "parent_path", "dense_parent") if "parent_path" in rows.columns else None
     return rows.select(
         key.alias("_id"),
         (F.when(F.col("file").isNotNull(), F.col("file_id")).alias("_sourcefileid") if "file_id" in rows.columns

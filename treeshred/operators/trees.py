@@ -13,24 +13,30 @@ pieces: src string, packet_no bigint, number bigint, ts timestamp_ntz,
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import naming as N
+from ..session import stage
 from .rename import RenameRules, rename_nodes
 
 CARRIED = ["src", "packet_no", "number", "ts", "gen_idx"]
 ATTRIBUTES = ["_name", "_showname", "_show", "_value", "_size", "_pos", "_hide"]
 OWN_TEXT = ["type", "name", "show", "showname", "value", "size", "pos", "hide", "local", "table", "reject"]
+ANY = "xs_any"  # the reader's column for any other element
+LEVELS = 10  # levels that are exploded in one stage
+XML_OPTIONS = {"wildcardColName": ANY, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", "ignoreSurroundingSpaces": "false"}
 LEAF_NAMELESS, BRANCH_NAMELESS, BRANCH_NAMED = 0, 1, 2
 
 
 def node_type(depth: int, residual: bool = False) -> T.StructType:
-    """NODE struct with ``depth`` field levels; what is deeper stays visible as text if ``residual``."""
+    """NODE struct with ``depth`` field levels; with ``residual`` the last one shows whether elements lie below it."""
     fields = [T.StructField(a, T.StringType()) for a in ATTRIBUTES]
     if depth > 0:
         fields.append(T.StructField("field", T.ArrayType(node_type(depth - 1, residual))))
     elif residual:
-        fields.append(T.StructField("field", T.ArrayType(T.StringType())))
+        fields.append(T.StructField(ANY, T.ArrayType(T.StringType())))
     return T.StructType(fields)
 
 
@@ -58,30 +64,34 @@ def _bad(schema: T.StructType, get) -> Column:
 
 
 def _children(schema: T.StructType, node: Column) -> tuple[Column | None, T.StructType | None]:
-    """Child array of ``node`` and its element type; text elements lie below the read schema."""
+    """Child array of ``node`` and its element type."""
     if "field" not in schema.names:
         return None, None
-    element = schema["field"].dataType.elementType
-    return node["field"], element if isinstance(element, T.StructType) else None
+    return node["field"], schema["field"].dataType.elementType
 
 
 def deeper_than_read(node: Column, schema: T.StructType) -> Column:
     """Does a tree go on below the levels that the read schema names?"""
     kids, element = _children(schema, node)
     if kids is None:
-        return F.lit(False)
-    if element is None:
-        return F.coalesce(F.size(kids), F.lit(0)) > 0
+        return F.coalesce(F.size(node[ANY]) > 0, F.lit(False)) if ANY in schema.names else F.lit(False)
     return F.coalesce(F.exists(kids, lambda x: deeper_than_read(x, element)), F.lit(False))
 
 
-def explode_nodes(pieces: DataFrame, rules: RenameRules | None = None) -> DataFrame:
-    """One row per node of every tree, renamed and named.
+def explode_nodes(pieces: DataFrame | list[DataFrame], rules: RenameRules | None = None) -> DataFrame:
+    """One row per node of every tree, renamed and named; ``pieces`` may be several frames of different depth.
 
-    Rejected nodes come back as rows with ``reject`` set and without subtree.
-    A node whose children lie below the read schema keeps its own value and has
-    ``cut`` set (``captures.required_depth`` finds the depth that holds all of them).
+    Rejected nodes come back as rows with ``reject`` set and without subtree. Up to LEVELS levels are exploded
+    in one narrow stage. Deeper trees go on from there: the nodes made so far are written, and only the children of the last
+    level are exploded further. So every node is written once and carried through at most LEVELS levels, however deep
+    its tree.
     """
+    frames = [pieces] if isinstance(pieces, DataFrame) else pieces
+    out = [part for frame in frames for part in _explode(frame, rules)]
+    return reduce(DataFrame.unionByName, out)
+
+
+def _explode(pieces: DataFrame, rules: RenameRules | None) -> list[DataFrame]:
     schema = pieces.schema["proto"].dataType
     text = F.lit(None).cast("string")
     df = pieces.select(
@@ -93,17 +103,22 @@ def explode_nodes(pieces: DataFrame, rules: RenameRules | None = None) -> DataFr
         F.array().cast("array<bigint>").alias("p_order"),
         F.col("proto._name").alias("protocol"),
         *[text.alias(c) for c in OWN_TEXT],
-        F.lit(None).cast("boolean").alias("branch"), F.lit(None).cast("boolean").alias("cut"),
+        F.lit(None).cast("boolean").alias("branch"),
         F.array().cast("array<bigint>").alias("order_path"),
     )
-    level = 0
+    done, level = [], 0
     while True:
         df, schema = _finish_level(df, schema, level, rules)
-        if schema is None:
+        if schema is not None and level % LEVELS == LEVELS - 1:
+            df = stage(df, f"nodes-{level}")
+            done.append(df)
+            df = _descend(df.where(F.size("kids") > 0), level, keep=False)
+        elif schema is not None:
+            df = _descend(df, level)
+        else:
             break
-        df = _descend(df, level)
         level += 1
-    return df.drop("kids", "fresh", "shift", "p_order")
+    return [part.drop("kids", "fresh", "shift", "p_order") for part in [*done, df]]
 
 
 def _finish_level(df: DataFrame, schema: T.StructType, level: int, rules: RenameRules | None):
@@ -112,21 +127,17 @@ def _finish_level(df: DataFrame, schema: T.StructType, level: int, rules: Rename
     fresh = F.col("fresh")
     if kids is None:
         survivors = F.lit(0)
-    elif child_schema is None:
-        survivors = F.coalesce(F.size(kids), F.lit(0))
     else:
         survivors = F.size(F.filter(F.coalesce(kids, F.array().cast(T.ArrayType(child_schema))),
                                     lambda x: ~_bad(child_schema, lambda a: x[a])))
     bad = _bad(schema, lambda a: F.col("k")[a])
-    too_deep = F.lit(False) if child_schema is not None or kids is None else F.coalesce(F.size(kids), F.lit(0)) > 0
     df = df.select(
         "*",
         *[F.when(fresh, _attribute(schema, "k", f"_{a}")).alias(f"n_{a}")
           for a in ("name", "show", "showname", "value")],
         F.when(fresh, F.when(bad, F.lit("bad size or position"))).alias("n_reject"),
-        F.when(fresh, too_deep).alias("n_cut"),
         F.when(fresh, (survivors > 0) | F.lit(level == 0)).alias("n_branch"),
-        *([] if kids is None or child_schema is None else [F.when(fresh & ~bad, kids).alias("kids")]),
+        *([] if kids is None else [F.when(fresh & ~bad, kids).alias("kids")]),
     )
     if rules is not None:
         df = rename_nodes(df, rules, level == 0)
@@ -139,7 +150,7 @@ def _finish_level(df: DataFrame, schema: T.StructType, level: int, rules: Rename
     order_path = (F.array(position) if level == 0
                   else F.concat(F.col("p_order"), F.array(own_class.cast("bigint"), position)))
     keep = [c for c in df.columns if not c.startswith("n_") and c not in OWN_TEXT
-            and c not in ("branch", "cut", "order_path", "k")]
+            and c not in ("branch", "order_path", "k")]
     df = df.select(
         *keep,
         new("type", F.lit("proto" if level == 0 else "field")),
@@ -147,7 +158,6 @@ def _finish_level(df: DataFrame, schema: T.StructType, level: int, rules: Rename
         *[new(a, _attribute(schema, "k", f"_{a}")) for a in ("size", "pos", "hide")],
         new("reject", F.col("n_reject")),
         new("branch", F.col("n_branch")),
-        new("cut", F.col("n_cut")),
         new("local", local),
         new("order_path", order_path),
         F.col("table"),
@@ -159,14 +169,16 @@ def _finish_level(df: DataFrame, schema: T.StructType, level: int, rules: Rename
     return df, child_schema
 
 
-def _descend(df: DataFrame, level: int) -> DataFrame:
-    """Explode children next to their parent row; children inherit the parent's context."""
+def _descend(df: DataFrame, level: int, keep: bool = True) -> DataFrame:
+    """Explode children next to their parent row, or without it; children inherit the parent's context."""
     kid_type = df.schema["kids"].dataType
     self_entry = F.array(F.lit(None).cast(kid_type.elementType))
     entries = F.concat(self_entry, F.coalesce(F.col("kids"), F.array().cast(kid_type)))
     carried = [c for c in df.columns if c not in ("kids", "fresh")]
     df = df.select(*carried, F.posexplode(entries).alias("at", "k"))
-    if level == 0:
+    if not keep:
+        df = df.where(F.col("at") > 0)
+    elif level == 0:
         # A slice of a layer contributes fields only; the layer itself is in another piece.
         df = df.where((F.col("at") > 0) | F.col("shift").isNull())
     is_kid = F.col("at") > 0

@@ -227,7 +227,7 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT k, 'n.guid', 'Guid', g FROM d UNION ALL SELECT k, 'n.plain', 'Guid', g FROM d
         UNION ALL SELECT k, 'n.bad', 'String16', h[1:31] FROM d UNION ALL SELECT k, 'n.span', 'Float', k || '.25' FROM d""",
     "dict_protocol_merge": f"""WITH {PROTO_LINES} SELECT short_name, {fold("list(p_type ORDER BY seq)")} AS long_name,
-        any_value(own) AS filter_name FROM pchecked WHERE NOT bad GROUP BY 1""",
+        any_value(own) AS filter_name FROM pchecked WHERE NOT bad GROUP BY 1 UNION ALL SELECT 'known', 'Known', 'known'""",
     "dict_field_merge": f"""WITH {PART_FIELDS} SELECT short_name, cls, long_name, description, 'BASE_DEC' AS base, '0x0' AS bitmask FROM fields""",
     "dict_label_merge": f"""WITH {PART_LABELS} SELECT field, kind, any_value(lo) AS lo, any_value(hi) AS hi,
         {fold("list(label ORDER BY seq)")} AS label, CASE WHEN kind = 'T' THEN {fold("list(false_label ORDER BY seq)")} END AS false_label,
@@ -317,10 +317,6 @@ ORACLES: dict[str, str] = {
     "mine_names": f"SELECT doc_id, {NAMES} AS protocols FROM documents",
     "mine_definitions": """SELECT DISTINCT '/src/epan/dissectors/' || source || '.h' AS unit, 'PROTO_NAME' AS key, '"' || source || '"' AS value FROM documents
         UNION ALL SELECT '/src/epan/dissectors/packet-d' || doc_id || '.c', 'PROTO_NAME', '"doc' || doc_id || '"' FROM documents WHERE doc_id % 2 = 0""",
-    "mine_literals": f"WITH {LINES_SQL} SELECT doc_id, pos::INT AS at_, text FROM ls",
-    "mine_classify": f"WITH {LINES_SQL} SELECT doc_id, pos::INT AS at_, outcome, rule_text FROM ruled",
-    "mine_dedupe": f"""WITH {LINES_SQL} SELECT DISTINCT lower(outcome) AS kind, {NAMES} AS protocol, rule_text AS text FROM ruled WHERE rule_text IS NOT NULL""",
-    "mine_trace": f"WITH {LINES_SQL} SELECT outcome, count(*) AS n FROM ruled GROUP BY 1",
     "mine_speculative": r"""WITH c AS (
         SELECT 'packet-d' || doc_id || '.c' AS unit, '#include <glib.h>' || chr(10) || '#include "common/' || source || '.h"' || chr(10)
           || CASE WHEN doc_id % 2 = 0 THEN '#define PROTO_NAME "doc' || doc_id || '"' || chr(10) ELSE '' END
@@ -366,12 +362,38 @@ GUESSES = f"""guesses AS ({ORACLES["mine_speculative"]}),
     UNION ALL SELECT doc_id, source, g.text FROM documents JOIN guesses AS g ON g.unit = source || '.h')"""
 
 ORACLES |= {
-    "mine_classify_all": f"""WITH {LINES_SQL}, {GUESSES}
+    "mine_classify": f"""WITH {LINES_SQL}, {GUESSES}
         SELECT 'packet-d' || doc_id || '.c' AS unit, 0 AS phase, pos::INT AS at_, text, outcome, rule_text FROM ruled
         UNION ALL SELECT unit, 1, "at", text, 'Speculative', text FROM guesses""",
-    "mine_dedupe_all": f"""WITH {LINES_SQL}, {GUESSES}
+    "mine_dedupe": f"""WITH {LINES_SQL}, {GUESSES}
         SELECT lower(outcome) AS kind, {NAMES} AS protocol, rule_text AS text FROM ruled WHERE rule_text IS NOT NULL
         UNION SELECT 'speculative', {NAMES}, text FROM guessed""",
-    "mine_trace_all": f"""WITH {LINES_SQL}, {GUESSES} SELECT outcome, count(*) AS n FROM ruled GROUP BY 1
+    "mine_trace": f"""WITH {LINES_SQL}, {GUESSES} SELECT outcome, count(*) AS n FROM ruled GROUP BY 1
         UNION ALL SELECT 'Speculative', count(*) FROM guessed""",
+    "mine_literals": f"""WITH {LINES_SQL}, {GUESSES}
+        SELECT 'packet-d' || doc_id || '.c' AS unit, 0 AS phase, pos::INT AS at_, text FROM ruled
+        UNION ALL SELECT unit, 1, "at", text FROM guesses""",
+    "xml_whole_packets": """SELECT l_orderkey AS _number, l_linenumber::BIGINT AS _value, l_quantity::DOUBLE AS line_quantity,
+        l_extendedprice AS line_price, l_quantity::BIGINT AS line_size, l_linestatus = 'O' AS line_open FROM lineitem""",
+    "recover_packets": ORDER_SQL + " WHERE o_orderkey % 7 NOT IN (3, 4, 5)",
+    "packet_rejects": """SELECT CASE WHEN o_orderkey % 7 = 5 THEN 'bad size or position in a layer' ELSE 'malformed packet' END AS reason,
+        'error' AS severity, count(*) AS n FROM orders WHERE o_orderkey % 7 IN (3, 4, 5) GROUP BY 1""",
+    "packet_places": "SELECT o_orderkey AS order_key, o_orderkey % 10 AS number, 1 AS packets FROM orders",
+    "packet_rollup": f"""WITH RECURSIVE row_of AS (
+          SELECT o_orderkey AS k, 'geninfo' AS t, NULL AS up, 0 AS i, NULL AS upi FROM orders UNION ALL SELECT o_orderkey, 'order', 'geninfo', 0, 0 FROM orders
+          UNION ALL SELECT o_orderkey, 'order_customer', 'order', 0, 0 FROM orders UNION ALL SELECT DISTINCT l_orderkey, 'line', 'order', 0, 0 FROM lineitem
+          UNION ALL SELECT l_orderkey, u.t, 'line', row_number() OVER (), 0 FROM lineitem, (VALUES ('line_item'), ('line__value')) AS u(t)
+          UNION ALL SELECT l_orderkey, 'line__group', 'line', row_number() OVER (), 0 FROM lineitem WHERE l_discount > 0.05),
+        tree AS (SELECT k, t, i, 0 AS depth, t AS root FROM row_of WHERE up IS NULL
+          UNION ALL SELECT r.k, r.t, r.i, tree.depth + 1, tree.root FROM tree JOIN row_of AS r ON r.k = tree.k AND r.up = tree.t AND r.upi = tree.i)
+        SELECT k AS packet_no, t AS "table", depth, root AS root_table FROM tree""",
+    "run_totals": """WITH o AS (SELECT count(*) AS n FROM orders), l AS (SELECT count(*) AS n, count(DISTINCT l_orderkey) AS d,
+          count(*) FILTER (l_discount > 0.05) AS g FROM lineitem)
+        SELECT unnest(['nodes', 'values', 'rejected nodes', 'rows geninfo', 'rows order', 'rows order_customer', 'rows line', 'rows line_item',
+                       'rows line__value', 'rows line__group']) AS measure,
+               unnest([16 * o.n + 7 * l.n + 2 * l.g, 11 * o.n + 7 * l.n + l.g, 0, o.n, o.n, o.n, l.d, l.n, l.n, l.g]) AS n FROM o, l""",
+    "dense_tables": "SELECT row_number() OVER () AS id, true AS same_packet FROM lineitem",
+    "mine_rules_reloaded": f"""WITH {LINES_SQL}, {GUESSES}
+        SELECT lower(outcome) AS kind, {NAMES} AS protocol, rule_text AS text FROM ruled WHERE rule_text IS NOT NULL
+        UNION SELECT 'speculative', {NAMES}, text FROM guessed""",
 }

@@ -361,7 +361,7 @@ def part_dictionaries(spark: SparkSession, sf_dir: str) -> D.Dictionaries:
 
 @query
 def dict_protocol_merge(spark, sf_dir):
-    return part_dictionaries(spark, sf_dir).protocols.where("short_name <> 'known'")
+    return part_dictionaries(spark, sf_dir).protocols
 
 
 @query
@@ -694,19 +694,111 @@ def xml_roundtrip(spark, sf_dir):
     return shredder(spark, pieces).table("order", ORDER).drop("_id", "_sourcefile", "_timestamp")
 
 
+def whole_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole order packets, header layers and line items, as the text of one packet element each: o_orderkey, year, text."""
+    orders, customer = O.read(spark, sf_dir, "orders"), O.read(spark, sf_dir, "customer")
+    lines_ = O.line_pieces(spark, sf_dir).groupBy("packet_no").agg(
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("shift", "proto.field"))), lambda x: x["field"])).alias("items"))
+    joined = orders.join(customer, orders.o_custkey == customer.c_custkey, "left").join(lines_, F.col("packet_no") == F.col("o_orderkey"), "left")
+    layers = O.header_layers(joined)
+    filled = F.transform(layers, lambda p: F.when(p["_name"] == "line", p.withField("field", F.coalesce("items", p["field"]))).otherwise(p))
+    text = F.to_xml(F.struct(filled.alias("proto")), {"rowTag": "packet"})
+    return joined.select("o_orderkey", F.year("o_orderdate").alias("year"), text.alias("text"))
+
+
+def written_packets(packets: DataFrame, label: str) -> str:
+    """Documents of one root element around the given packet texts, one folder per year."""
+    spark = packets.sparkSession
+    path = f"{staging_root(spark)}/{label}-{spark.sparkContext.applicationId}-{len(_WRITTEN)}"
+    _WRITTEN.append(path)
+    packets.select("year", "text").write.partitionBy("year").text(path)
+    return path
+
+
+@query
+def xml_whole_packets(spark, sf_dir):
+    """Line items of whole packets that went through XML, read at the default depth."""
+    pieces = captures.read_pieces(spark, written_packets(whole_packets(spark, sf_dir), "whole"))
+    wide = shredder(spark, pieces).table("line_item", {**ITEM, "line_open": V.BOOL})
+    return wide.select("_number", "_value", "line_quantity", "line_price", "line_size", "line_open")
+
+
+def broken_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packets of which every seventh is never closed, another seventh is not well formed and another has a bad layer."""
+    packets = whole_packets(spark, sf_dir)
+    kind = F.col("o_orderkey") % 7
+    broken = (F.when(kind == 3, F.replace("text", F.lit("</packet>"), F.lit("")))
+              .when(kind == 4, F.replace("text", F.lit("</packet>"), F.lit("<proto name=x/></packet>")))
+              .when(kind == 5, F.replace("text", F.lit("</packet>"), F.lit('<proto name="x" size="zz"/></packet>'))).otherwise(F.col("text")))
+    return packets.withColumn("text", broken)
+
+
+@query
+def recover_packets(spark, sf_dir):
+    """Orders of documents with bad packets: the good ones around them."""
+    pieces = captures.read_pieces(spark, written_packets(broken_packets(spark, sf_dir), "broken"))
+    return shredder(spark, pieces).table("order", ORDER).drop("_id", "_sourcefile", "_timestamp")
+
+
+@query
+def packet_rejects(spark, sf_dir):
+    """Each bad packet is one reject."""
+    trees = captures.read_trees(spark, written_packets(broken_packets(spark, sf_dir), "broken"))
+    return captures.packet_rejects(trees).groupBy("reason", "severity").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def packet_places(spark, sf_dir):
+    """Packets whose numbers repeat stay apart: the place in the file tells them."""
+    packets = whole_packets(spark, sf_dir)
+    same = F.regexp_replace("text", r'name="num"([^>]*) show="\d+(\d)"', 'name="num"$1 show="$2"')
+    trees = captures.read_trees(spark, written_packets(packets.withColumn("text", same), "places"))
+    rows = shredder(spark, captures.tree_pieces(trees)).table("order", {"order_key": V.INT64})
+    return rows.groupBy("order_key", F.col("_number").alias("number")).agg(F.count_distinct("_id").alias("packets"))
+
+
+@query
+def packet_rollup(spark, sf_dir):
+    """Every row of every packet with its depth below the packet's first row, over all tables."""
+    rows, _ = staged_whole(spark, sf_dir)
+    return K.roll_up(K.links(rows)).select("packet_no", "table", "depth", "root_table")
+
+
+@query
+def run_totals(spark, sf_dir):
+    """What a run counted while it wrote."""
+    sink = new_sink(spark)
+    job = whole(spark, sf_dir).staged()
+    sink.write(job.rows(), job.layers(), totals=job.totals)
+    return spark.table(sink.name("_run")).select("measure", "n")
+
+
+@query
+def dense_tables(spark, sf_dir):
+    """Two runs with integer keys: ids go on without a gap, and parent keys are ids."""
+    sink = new_sink(spark, dense=True)
+    pieces = O.order_pieces(spark, sf_dir)
+    for part in (F.col("packet_no") % 2 == 0, F.col("packet_no") % 2 == 1):
+        job = shredder(spark, pieces.where(part)).staged()
+        sink.write(job.rows(), job.layers())
+    item, line = spark.table(sink.name("line_item")), spark.table(sink.name("line"))
+    return item.join(line.select(F.col("_id").alias("parent_line"), F.col("_number").alias("line_number")), "parent_line").select(
+        F.col("_id").alias("id"), (F.col("_number") == F.col("line_number")).alias("same_packet"))
+
+
 @query
 def recursive_listing(spark, sf_dir):
     files = captures.listed_files(spark, written_captures(spark, sf_dir), "*.xml|*.pdml")
     return files.select(F.regexp_extract("path", r"year=(\d+)", 1).cast("int").alias("year")).distinct()
 
 
-def new_sink(spark: SparkSession):
+def new_sink(spark: SparkSession, **options):
     from ..sources.tables import TableSink
 
     name = f"captures_{len(_WRITTEN)}_{abs(hash(spark.sparkContext.applicationId)) % 10 ** 8}"
     _WRITTEN.append(name)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{staging_root(spark)}/db-{spark.sparkContext.applicationId}-{name}'")
-    return TableSink(spark, name)
+    return TableSink(spark, name, **options)
 
 
 @query
@@ -779,16 +871,20 @@ def mine_definitions(spark, sf_dir):
     return G.definitions(document_corpus(spark, sf_dir)).select("unit", "key", "value")
 
 
+def short_unit(c: Column) -> Column:
+    return F.regexp_extract(c, "([^/]+)$", 1)
+
+
 @query
 def mine_literals(spark, sf_dir):
-    lits = G.literals(document_corpus(spark, sf_dir)).where("phase = 0")
-    return lits.select(short_source(F.col("unit")).alias("doc_id"), F.col("at").alias("at_"), "text")
+    """Literals of both phases: format texts, and what may be one."""
+    return G.literals(document_corpus(spark, sf_dir)).select(short_unit(F.col("unit")).alias("unit"), "phase", F.col("at").alias("at_"), "text")
 
 
 @query
 def mine_classify(spark, sf_dir):
-    out = G.classify(G.literals(document_corpus(spark, sf_dir)).where("phase = 0"))
-    return out.select(short_source(F.col("unit")).alias("doc_id"), F.col("at").alias("at_"), "outcome", "rule_text")
+    out = G.classify(G.literals(document_corpus(spark, sf_dir)))
+    return out.select(short_unit(F.col("unit")).alias("unit"), "phase", F.col("at").alias("at_"), "text", "outcome", "rule_text")
 
 
 @query
@@ -800,34 +896,23 @@ def mine_speculative(spark, sf_dir):
 @query
 def mine_dedupe(spark, sf_dir):
     rules, _ = G.mined(document_corpus(spark, sf_dir))
-    return rules.where("kind <> 'speculative'").select("kind", "protocol", "text")
+    return rules.select("kind", "protocol", "text")
 
 
 @query
 def mine_trace(spark, sf_dir):
     _, trace = G.mined(document_corpus(spark, sf_dir))
-    return trace.where("outcome <> 'Speculative'").groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
-
-
-@query
-def mine_classify_all(spark, sf_dir):
-    """Literals of both phases with their outcomes; mine_literals and mine_classify have the format texts alone."""
-    out = G.classify(G.literals(document_corpus(spark, sf_dir)))
-    return out.select(F.regexp_extract("unit", "([^/]+)$", 1).alias("unit"), "phase", F.col("at").alias("at_"), "text", "outcome", "rule_text")
+    return trace.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
-def mine_dedupe_all(spark, sf_dir):
-    """Rules of every kind; mine_dedupe leaves the speculative ones out."""
+def mine_rules_reloaded(spark, sf_dir):
+    """Mined rules, written as rule files and read again as a relation."""
     rules, _ = G.mined(document_corpus(spark, sf_dir))
-    return rules.select("kind", "protocol", "text")
-
-
-@query
-def mine_trace_all(spark, sf_dir):
-    """Trace counts of every outcome; mine_trace leaves the speculative one out."""
-    _, trace = G.mined(document_corpus(spark, sf_dir))
-    return trace.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+    path = f"{staging_root(spark)}/rules-{spark.sparkContext.applicationId}-{len(_WRITTEN)}"
+    _WRITTEN.append(path)
+    G.write_rules(stage(rules, "mined"), path)
+    return R.read_rules(spark, path)[0].select("kind", "protocol", "text")
 
 
 # --- quality ---------------------------------------------------------------------------------

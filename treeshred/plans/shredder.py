@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from ..functions import naming as N
 from ..operators import shred as S
@@ -17,13 +17,14 @@ from ..session import stage
 
 @dataclass
 class Shredder:
-    pieces: DataFrame
+    pieces: DataFrame | list[DataFrame]
     fields: DataFrame | None = None
     labels: DataFrame | Labels | None = None
     rules: RenameRules | None = None
     filters: FilterRules | None = None
     capture_tz: str = "UTC"
     keep_binary: bool = False
+    totals: dict[str, int] = field(default_factory=dict)
     _memo: dict = field(default_factory=dict)
 
     def nodes(self, table: str | None = None) -> DataFrame:
@@ -45,8 +46,15 @@ class Shredder:
         return nodes
 
     def staged(self) -> "Shredder":
-        """Keep typed nodes in the staging folder: for runs that write many tables from one scan."""
-        self._memo["nodes"] = stage(self.nodes(), "nodes")
+        """Keep typed nodes in the staging folder: for runs that write many tables from one scan.
+
+        What the run read is counted on the way into ``totals`` (H2): nodes, rejected ones, and nodes with a value of their own.
+        """
+        seen, alive = Observation("nodes"), F.col("reject").isNull()
+        counted = self.nodes().observe(seen, F.count_if(alive).alias("nodes"), F.count_if(~alive).alias("rejected nodes"),
+                                       F.count_if(alive & F.col("text").isNotNull()).alias("values"))
+        self._memo["nodes"] = stage(counted, "nodes")
+        self.totals |= {k: v or 0 for k, v in seen.get.items()}
         return self
 
     def cells(self, table: str | None = None) -> DataFrame:

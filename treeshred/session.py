@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Runtime settings the jobs rely on; everything else is left to the cluster.
 SETTINGS = {
@@ -77,6 +77,14 @@ def stage(df: DataFrame, label: str, sort_by: list[str] | None = None) -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_checked(rows: DataFrame) -> DataFrame:
+    """A staged table of narrow rows, to be sent around where it has at most BROADCAST_ROWS; beyond that joins shuffle."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Give an explode-heavy job enough tasks when its input has fewer splits than the cluster has cores.
 

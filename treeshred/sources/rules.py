@@ -108,6 +108,30 @@ def load_rename_file(spark: SparkSession, path: str) -> tuple[list[dict], list[d
     return standard, templates, skipped
 
 
+RULE = r"""(?is)^(constant|prefix|speculative)((?:\s+[\w:]+\s*=\s*(?:"[^"]*"|'[^']*'))*)\s*/?>"""
+
+
+def read_rules(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """Standard rules of written rule files as a relation for ``rename_rules``, and the elements that are none.
+
+    Files are cut before every tag and rules are parsed one by one, so any number of them, such as those that mining
+    writes, stays on the executors. ``seq`` is the place (file, split, position), so later files and elements override earlier ones.
+    Rules: seq, kind, protocol, text, name; skipped: file, element. Comments are not known here: files that
+    people write, with templates or comments, go through ``load_rename_file``.
+    """
+    texts = (spark.read.option("lineSep", "<").option("recursiveFileLookup", "true").text(path)
+             .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("at"), "value"))
+    tags = texts.where(F.col("value").rlike(r"^\w") & ~F.col("value").rlike(r"(?i)^fixups[\s/>]"))
+    attributes = F.from_xml(F.concat(F.lit("<rule"), F.regexp_extract("value", RULE, 2), F.lit("/>")),
+                            "_protocol string, _text string, _name string", {"mode": "PERMISSIVE", "ignoreSurroundingSpaces": "false"})
+    parsed = tags.withColumns({"kind": F.lower(F.regexp_extract("value", RULE, 1)), "rule": attributes})
+    usable = (F.col("kind") != "") & ~N.is_blank(F.col("rule._text")) & F.col("rule._protocol").isNotNull()
+    rules = parsed.where(usable).select(F.struct("file", "block", "at").alias("seq"), "kind", F.col("rule._protocol").alias("protocol"),
+                                        F.col("rule._text").alias("text"), F.col("rule._name").alias("name"))
+    return rules, parsed.where(~F.coalesce(usable, F.lit(False))).select("file", F.concat(F.lit("<"), "value").alias("element"))
+
+
 def load_filter_file(spark: SparkSession, path: str) -> tuple[FilterRules, list[tuple[str, str]]]:
     """XML filter files, in path order, to rules and skipped elements."""
     roots, rules, skipped = [ET.fromstring(t) for t in _whole_texts(spark, path)], FilterRules(), []
