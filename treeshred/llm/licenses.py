@@ -167,7 +167,8 @@ def _rows_sql(rows: dict[str, str]) -> str:
 OP7_SQL = f"""
 WITH notes AS (SELECT sha256(array_to_string({_canonical_sql('t')}, ' ')) AS digest, license FROM (VALUES {_rows_sql(NOTICES)}) AS v(t, license)),
 known AS (SELECT sha256(array_to_string({_canonical_sql('t')}, ' ')) AS digest, license
-          FROM (VALUES {_rows_sql({t: name for name, t in TEXTS.items()})}) AS v(t, license) UNION SELECT digest, license FROM notes),
+          FROM (VALUES {_rows_sql({t: name for name, t in TEXTS.items()})}) AS v(t, license) UNION SELECT digest, license FROM notes
+          UNION SELECT digest, license FROM (VALUES {_rows_sql(DIGESTS)}) AS v(digest, license)),
 d AS (SELECT row_number() OVER () AS rid, doc_id, {_canonical_sql('text')} AS lines FROM documents),
 hits AS (SELECT rid, string_agg(DISTINCT license, ',' ORDER BY license) AS notices
          FROM (SELECT rid, unnest(lines) AS line FROM d) JOIN notes ON sha256(line) = digest GROUP BY rid)

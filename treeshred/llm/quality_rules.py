@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from treeshred.llm.common import SPACES, plain, read_documents
@@ -15,19 +15,14 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 # Least characters and words for a histogram to say anything, and the distances (0 to 1) from which it speaks against a document.
 MIN_CHARS = 200
-MIN_COMMON_WORDS = 50
+MIN_COMMON_WORDS = 80
 MAX_CLASS_DISTANCE = 0.3
-MAX_WORD_DISTANCE = 0.4
-# The same for words, as a share of the distance of a document without any common word: the fixed one above is beyond it.
-MAX_WORD_SHARE = 0.85
-
-# Common words of each language.
-COMMON = {
-    "de": ["der", "die", "und", "in", "den", "von", "zu", "das", "mit", "des", "auf", "für"],
-    "en": ["the", "of", "and", "to", "in", "is", "that", "for", "it", "was", "on", "are"],
-    "es": ["de", "la", "que", "el", "en", "los", "del", "las", "por", "un", "con", "no"],
-    "fr": ["de", "la", "le", "les", "des", "est", "et", "en", "que", "une", "du", "pour"],
-}
+# The distance of words is judged as a share of the distance of a document without any common word.
+MAX_WORD_SHARE = 0.9
+# Common words of a language: those in the most of its documents of MIN_WORDS words or more; it has none below so many documents.
+COMMON_WORDS = 32
+MIN_LANGUAGE_DOCS = 20
+
 CLASSES = ("n_upper", "n_digits", "n_marks", "n_symbols", "n_space", "n_rest")
 
 
@@ -36,23 +31,44 @@ def _all_but(text: Column, pattern: str) -> Column:
     return (F.length(text) - F.length(F.regexp_replace(text, pattern, ""))).cast("long")
 
 
-def base_counts(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, base counts, class counts (CLASSES) and ``hits``, the document's common words by candidate language.
+def _words(text: Column) -> Column:
+    trimmed = F.trim(text, F.lit(" \t\n\x0b\f\r"))
+    return F.when(F.length(trimmed) > 0, F.split(trimmed, SPACES)).otherwise(F.array().cast("array<string>"))
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    return plain(docs, "doc_id", "text", "lang").select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text"))
+
+
+def common_words(docs: DataFrame) -> dict[str, list[str]]:
+    """The COMMON_WORDS words that stand in the most documents of each language, over all its documents of MIN_WORDS words or more.
+
+    Words are counted once a document, partially before the shuffle; equal counts go by the word. Languages of fewer than
+    MIN_LANGUAGE_DOCS such documents, and null, have none. One row of words for each language reaches the driver.
+    """
+    long = _rows(docs).where("lang IS NOT NULL").select("lang", _words(F.col("text")).alias("words")).where(F.size("words") >= MIN_WORDS)
+    counted = long.select("lang", F.explode(F.array_distinct("words")).alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
+    listed = (counted.withColumn("k", place).where(F.col("k") <= COMMON_WORDS).groupBy("lang")
+              .agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "word"))), lambda x: x["word"]).alias("words")))
+    sizes = long.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_LANGUAGE_DOCS)
+    return {r["lang"]: r["words"] for r in listed.join(sizes.select("lang"), "lang").collect()}
+
+
+def base_counts(docs: DataFrame, common: dict[str, list[str]] | None = None) -> DataFrame:
+    """doc_id, lang, base counts, class counts (CLASSES) and ``hits``, how often each common word of its language stands in a document.
 
     Everything is computed within the row. For repeated windows the hashes of all three-word windows are taken;
     only where two are equal are they sorted with their places, and the words they
-    cover counted from the gaps between places. Null texts count as empty.
+    cover counted from the gaps between places. Null texts count as empty. ``hits`` is null for a language without common words.
     """
-    text = F.coalesce("text", F.lit(""))
-    rows = plain(docs, "doc_id", "text", "lang").select("doc_id", "lang", text.alias("text"))
-    trimmed = F.trim("text", F.lit(" \t\n\x0b\f\r"))
-    rows = rows.withColumn("words", F.when(F.length(trimmed) > 0, F.split(trimmed, SPACES)).otherwise(
-        F.array().cast("array<string>")))
+    common = common or {}
+    rows = _rows(docs).withColumn("words", _words(F.col("text")))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     rows = rows.withColumn("lines", lines).withColumn("n_words", F.size("words").cast("long"))
     windows = F.transform(F.slice("words", 1, F.greatest(F.size("words") - 2, F.lit(0))),
                           lambda w, i: F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2)))
-    every = sorted({w for words in COMMON.values() for w in words})
+    every = sorted({w for words in common.values() for w in words})
     rows = rows.withColumn("windows", windows).withColumn("common", F.filter("words", lambda w: w.isin(every)))
     placed = F.array_sort(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     none = F.array().cast("array<struct<h:bigint,i:int>>")
@@ -62,12 +78,10 @@ def base_counts(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("places", F.array_sort(F.transform(again, lambda p: p["i"])))
     covered = F.aggregate(F.transform("places", lambda i, k: F.least(F.lit(3), F.coalesce(F.get("places", k + 1) - i, F.lit(3)))),
                           F.lit(0).cast("long"), lambda s, x: s + x)
-    known = F.map_from_arrays(F.array(*map(F.lit, COMMON)),
-                              F.array(*[F.array(*map(F.lit, words)) for words in COMMON.values()]))
-    candidates = F.when(F.col("lang").isin(list(COMMON)), F.array("lang")).otherwise(F.array(*map(F.lit, COMMON)))
-    hits = F.transform(candidates, lambda name: F.struct(
-        name.alias("lang"),
-        F.transform(F.element_at(known, name), lambda x: F.size(F.filter("common", lambda w: w == x)).cast("long")).alias("counts")))
+    hits = F.lit(None).cast("array<long>")
+    for name, words in sorted(common.items()):
+        hits = F.when(F.col("lang") == name, F.transform(
+            F.array(*map(F.lit, words)), lambda x: F.size(F.filter("common", lambda w: w == x)).cast("long"))).otherwise(hits)
     counted = rows.select(
         "doc_id", "lang", "n_words", F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.length("text").cast("long").alias("n_chars"),
@@ -108,18 +122,19 @@ def bare_distance(reference: list[float]) -> float:
     return math.sqrt(max(bits, 0.0))
 
 
-def references(counted: DataFrame) -> dict[str, tuple[list[float], list[float]]]:
+def references(counted: DataFrame, common: dict[str, list[str]]) -> dict[str, tuple[list[float], list[float]]]:
     """Shares of character classes and of common words in each language, over all its documents that pass the base rules.
 
-    One row per language of COMMON reaches the driver.
+    One row for each language with common words reaches the driver.
     """
-    n = len(next(iter(COMMON.values())))
-    words = [F.sum(F.col("hits")[0]["counts"][k]).alias(f"w{k}") for k in range(n)]
-    rows = (counted.where(F.col("lang").isin(list(COMMON)) & ~base_failed()).groupBy("lang")
+    if not common:
+        return {}
+    words = [F.sum(F.get("hits", F.lit(k))).alias(f"w{k}") for k in range(COMMON_WORDS)]
+    rows = (counted.where(F.col("lang").isin(list(common)) & ~base_failed()).groupBy("lang")
             .agg(*[F.sum(c).alias(c) for c in CLASSES], F.sum("n_words").alias("n"), *words).collect())
     found = {}
     for row in rows:
-        held = [row[f"w{k}"] for k in range(n)]
+        held = [row[f"w{k}"] for k in range(len(common[row["lang"]]))]
         found[row["lang"]] = (_shares([row[c] for c in CLASSES]), _shares([*held, row["n"] - sum(held)]))
     return found
 
@@ -130,44 +145,31 @@ def _shares(counts: list[int]) -> list[float]:
 
 
 def judge(counted: DataFrame, refs: dict[str, tuple[list[float], list[float]]]) -> DataFrame:
-    """Add base_failed, class_distance, word_distance, word_share, kept and kept_fixed.
+    """Add base_failed, class_distance, word_share and kept.
 
-    ``word_share`` is the word distance over that of a document without any common word, and ``kept`` goes by it.
-    ``kept_fixed`` goes by the fixed word distance instead, which such a document passes; it is the verdict of OP2_SQL. A document is compared with its own language, or with all where that is null or has no reference, and the nearest
-    counts. Histograms below the length guards, and languages without a reference, say nothing: the base rules decide alone.
+    The character classes of a document are compared with those of its own language, or with all where that is null or has no
+    reference, and the nearest counts. Its words are compared with those of its own language only: ``word_share`` is their distance
+    over that of a document without any common word. Histograms below the length guards, and the words of a document whose
+    language is null or has no reference, say nothing.
     """
     classes = F.array(*[F.col(c).cast("double") for c in CLASSES])
-
-    def nearest(make) -> Column:
-        own, any_of = F.lit(None).cast("double"), []
-        for name, ref in sorted(refs.items()):
-            value = make(name, ref)
-            own = F.when(F.col("lang") == name, value).otherwise(own)
-            any_of.append(value)
-        if not any_of:
-            return own
-        least = F.array_min(F.array(*any_of))
-        return F.when(F.col("lang").isin(list(refs)), own).otherwise(least)
-
-    def by_words(name: str, ref) -> Column:
-        held = F.filter("hits", lambda h: h["lang"] == name)
-        counts = F.transform(F.get(held, F.lit(0))["counts"], lambda x: x.cast("double"))
-        rest = F.col("n_words") - F.aggregate(counts, F.lit(0.0), lambda s, x: s + x)
-        return distance(F.concat(counts, F.array(rest)), ref[1])
-
-    def by_share(name: str, ref) -> Column:
-        bare = bare_distance(ref[1])
-        return by_words(name, ref) / bare if bare > 0 else F.lit(None).cast("double")
-
+    own_class, own_share, any_class = F.lit(None).cast("double"), F.lit(None).cast("double"), []
+    counts = F.transform("hits", lambda x: x.cast("double"))
+    rest = F.col("n_words") - F.aggregate(counts, F.lit(0.0), lambda s, x: s + x)
+    for name, (of_classes, of_words) in sorted(refs.items()):
+        own, bare = F.col("lang") == name, bare_distance(of_words)
+        any_class.append(distance(classes, of_classes))
+        own_class = F.when(own, any_class[-1]).otherwise(own_class)
+        if bare > 0:
+            own_share = F.when(own, distance(F.concat(counts, F.array(rest)), of_words) / bare).otherwise(own_share)
+    if any_class:
+        own_class = F.when(F.col("lang").isin(list(refs)), own_class).otherwise(F.array_min(F.array(*any_class)))
     judged = counted.withColumns({
         "base_failed": base_failed(),
-        "class_distance": F.when(F.col("n_chars") >= MIN_CHARS, nearest(lambda name, ref: distance(classes, ref[0]))),
-        "word_distance": F.when(F.col("n_words") >= MIN_COMMON_WORDS, nearest(by_words)),
-        "word_share": F.when(F.col("n_words") >= MIN_COMMON_WORDS, nearest(by_share))})
-    fits = ~F.col("base_failed") & F.coalesce(F.col("class_distance") <= MAX_CLASS_DISTANCE, F.lit(True))
-    return judged.withColumns({
-        "kept": fits & F.coalesce(F.col("word_share") <= MAX_WORD_SHARE, F.lit(True)),
-        "kept_fixed": fits & F.coalesce(F.col("word_distance") <= MAX_WORD_DISTANCE, F.lit(True))})
+        "class_distance": F.when(F.col("n_chars") >= MIN_CHARS, own_class),
+        "word_share": F.when(F.col("n_words") >= MIN_COMMON_WORDS, own_share)})
+    return judged.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("class_distance") <= MAX_CLASS_DISTANCE, F.lit(True))
+                             & F.coalesce(F.col("word_share") <= MAX_WORD_SHARE, F.lit(True)))
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
@@ -175,27 +177,19 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
     Words are maximal runs without ASCII white space, in whole texts. Null and empty texts have no words and fail the base
     rules. Rows are independent, so repeated rows and null ids pass through; extra columns are
-    dropped; an empty table gives an empty result. The texts are read once: counts are written, references summed from them.
+    dropped; an empty table gives an empty result. The texts are read twice: for the common words of each language, and for
+    the counts, which are written; the references are summed from these.
     """
-    counted = stage(base_counts(docs), "rules-counts")
-    return judge(counted, references(counted))
+    common = common_words(docs)
+    counted = stage(base_counts(docs, common), "rules-counts")
+    return judge(counted, references(counted, common))
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts, and the verdict by the fixed word distance of OP2_SQL; op2_quality_verdict has the whole rule."""
-    return quality_rules(read_documents(spark, sf_dir)).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        F.col("kept_fixed").alias("kept"))
-
-
-def op2_quality_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts, and the verdict by the share of the word distance."""
     return quality_rules(read_documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-_COMMON_ROWS = ", ".join(f"('{lang}', {k}, '{word}')" for lang, words in COMMON.items() for k, word in enumerate(words))
-
 OP2_SQL = rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t FROM documents),
 ws AS (SELECT rid, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
@@ -216,22 +210,25 @@ counts AS (
   FROM d JOIN ws USING (rid) LEFT JOIN lines USING (rid) LEFT JOIN cover USING (rid)),
 base AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed,
                 n_chars - word_chars AS n_space FROM counts),
-common AS (SELECT * FROM (VALUES {_COMMON_ROWS}) AS v(cl, k, word)),
+long AS (SELECT d.rid, lang, ws FROM d JOIN ws USING (rid) WHERE lang IS NOT NULL AND len(ws) >= {MIN_WORDS}),
+spread AS (SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(list_distinct(ws)) AS word FROM long) GROUP BY ALL),
+common AS (SELECT lang AS cl, word, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) - 1 AS k FROM spread
+           WHERE lang IN (SELECT lang FROM long GROUP BY lang HAVING count(*) >= {MIN_LANGUAGE_DOCS})
+           QUALIFY k < {COMMON_WORDS}),
 langs AS (SELECT DISTINCT cl FROM common),
-cand AS (SELECT rid, cl, lang, base_failed, n_words FROM base, langs
-         WHERE lang = cl OR lang IS NULL OR lang NOT IN (SELECT cl FROM langs)),
 class AS (
   SELECT rid, k, c FROM (SELECT rid, unnest([n_upper, n_digits, n_marks, n_symbols, n_space,
     n_chars - n_space - n_symbols - n_upper - n_digits - n_marks]) AS c, unnest([0, 1, 2, 3, 4, 5]) AS k FROM base)),
 found AS (SELECT rid, word, count(*) AS c FROM (SELECT rid, unnest(ws) AS word FROM ws) GROUP BY ALL),
-hit AS (SELECT cand.rid, cand.cl, k, coalesce(c, 0) AS c FROM cand JOIN common USING (cl)
-        LEFT JOIN found ON found.rid = cand.rid AND found.word = common.word),
+hit AS (SELECT base.rid, cl, k, coalesce(c, 0) AS c FROM base JOIN common ON cl = lang
+        LEFT JOIN found ON found.rid = base.rid AND found.word = common.word),
 wordh AS (SELECT rid, cl, k, c FROM hit UNION ALL
-          SELECT cand.rid, cand.cl, 99, any_value(n_words) - sum(c) FROM cand JOIN hit ON cand.rid = hit.rid AND cand.cl = hit.cl GROUP BY ALL),
+          SELECT hit.rid, cl, 99, any_value(n_words) - sum(c) FROM hit JOIN base ON base.rid = hit.rid GROUP BY ALL),
 cref AS (SELECT lang AS cl, k, sum(c) / sum(sum(c)) OVER (PARTITION BY lang) AS q
          FROM class JOIN base USING (rid) WHERE NOT base_failed AND lang IN (SELECT cl FROM langs) GROUP BY lang, k),
 wref AS (SELECT cl, k, sum(c) / sum(sum(c)) OVER (PARTITION BY cl) AS q
-         FROM wordh JOIN base USING (rid) WHERE NOT base_failed AND lang = cl GROUP BY cl, k),
+         FROM wordh JOIN base USING (rid) WHERE NOT base_failed GROUP BY cl, k),
+cand AS (SELECT rid, cl FROM base, (SELECT DISTINCT cl FROM cref) WHERE lang = cl OR lang IS NULL OR lang NOT IN (SELECT cl FROM cref)),
 cp AS (SELECT cand.rid, cand.cl, q, c / nullif(sum(c) OVER (PARTITION BY cand.rid, cand.cl), 0) AS p
        FROM cand JOIN class ON class.rid = cand.rid JOIN cref ON cref.cl = cand.cl AND cref.k = class.k),
 wp AS (SELECT rid, cl, q, c / nullif(sum(c) OVER (PARTITION BY rid, cl), 0) AS p FROM wordh JOIN wref USING (cl, k)),
@@ -239,14 +236,7 @@ dist AS (
   SELECT kind, rid, cl, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
     + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2, 0)) AS v
   FROM (SELECT 'c' AS kind, * FROM cp UNION ALL SELECT 'w', * FROM wp) WHERE p IS NOT NULL GROUP BY ALL),
-near AS (SELECT rid, min(v) FILTER (kind = 'c') AS c, min(v) FILTER (kind = 'w') AS w FROM dist GROUP BY rid)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND (n_chars < {MIN_CHARS} OR coalesce(near.c <= {MAX_CLASS_DISTANCE}, true))
-         AND (n_words < {MIN_COMMON_WORDS} OR coalesce(near.w <= {MAX_WORD_DISTANCE}, true)) AS kept
-FROM base LEFT JOIN near USING (rid)
-"""
-
-OP2_VERDICT_SQL = OP2_SQL[:OP2_SQL.rindex("SELECT doc_id")] + f""",
+near AS (SELECT rid, min(v) AS c FROM dist WHERE kind = 'c' GROUP BY rid),
 bare AS (SELECT cl, sqrt(greatest(sum(CASE WHEN k <> 99 THEN q ELSE log2(2 / (1 + q))
     + CASE WHEN q > 0 THEN q * log2(2 * q / (1 + q)) ELSE 0 END END) / 2, 0)) AS v FROM wref GROUP BY cl),
 share AS (SELECT rid, min(dist.v / nullif(bare.v, 0)) AS s FROM dist JOIN bare USING (cl) WHERE kind = 'w' GROUP BY rid)

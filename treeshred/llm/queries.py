@@ -8,7 +8,6 @@ from treeshred.llm import (bpe, divergence, exact_dedup, language, licenses, lin
 QUERIES = {
     "op1_language": language.op1_language,
     "op2_quality_rules": quality_rules.op2_quality_rules,
-    "op2_quality_verdict": quality_rules.op2_quality_verdict,
     "op3_bpe": bpe.op3_bpe,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_token_files": token_files.op5_token_files,
@@ -24,7 +23,6 @@ QUERIES = {
 
 ORACLES = {
     "op2_quality_rules": quality_rules.OP2_SQL,
-    "op2_quality_verdict": quality_rules.OP2_VERDICT_SQL,
     "op4_exact_dedup": exact_dedup.OP4_SQL,
     "op7_licenses": licenses.OP7_SQL,
     "op8_near_dup": near_dup.OP8_SQL,
