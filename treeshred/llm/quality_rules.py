@@ -43,16 +43,17 @@ def _rows(docs: DataFrame) -> DataFrame:
 def common_words(docs: DataFrame) -> dict[str, list[str]]:
     """The COMMON_WORDS words that stand in the most documents of each language, over all its documents of MIN_WORDS words or more.
 
-    Words are counted once a document, partially before the shuffle; equal counts go by the word. Languages of fewer than
-    MIN_LANGUAGE_DOCS such documents, and null, have none. One row of words for each language reaches the driver.
+    Words are counted once a document, partially before the shuffle, and the empty word counts the documents; equal counts go by
+    the word. Languages of fewer than MIN_LANGUAGE_DOCS such documents, and null, have none. One row of words for each language
+    reaches the driver.
     """
     long = _rows(docs).where("lang IS NOT NULL").select("lang", _words(F.col("text")).alias("words")).where(F.size("words") >= MIN_WORDS)
-    counted = long.select("lang", F.explode(F.array_distinct("words")).alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    listed = (counted.withColumn("k", place).where(F.col("k") <= COMMON_WORDS).groupBy("lang")
-              .agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "word"))), lambda x: x["word"]).alias("words")))
-    sizes = long.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_LANGUAGE_DOCS)
-    return {r["lang"]: r["words"] for r in listed.join(sizes.select("lang"), "lang").collect()}
+    counted = long.select("lang", F.explode(F.array_append(F.array_distinct("words"), "")).alias("word")).groupBy("lang", "word").agg(
+        F.count(F.lit(1)).alias("n"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("word") != "", F.desc("n"), "word"))
+    listed = (counted.withColumn("k", place).where(F.col("k") <= COMMON_WORDS + 1).groupBy("lang")
+              .agg(F.array_sort(F.collect_list(F.struct("k", "n", "word"))).alias("words")))
+    return {r["lang"]: [x["word"] for x in r["words"][1:]] for r in listed.collect() if r["words"][0]["n"] >= MIN_LANGUAGE_DOCS}
 
 
 def base_counts(docs: DataFrame, common: dict[str, list[str]] | None = None) -> DataFrame:
@@ -78,10 +79,9 @@ def base_counts(docs: DataFrame, common: dict[str, list[str]] | None = None) ->
     rows = rows.withColumn("places", F.array_sort(F.transform(again, lambda p: p["i"])))
     covered = F.aggregate(F.transform("places", lambda i, k: F.least(F.lit(3), F.coalesce(F.get("places", k + 1) - i, F.lit(3)))),
                           F.lit(0).cast("long"), lambda s, x: s + x)
-    hits = F.lit(None).cast("array<long>")
-    for name, words in sorted(common.items()):
-        hits = F.when(F.col("lang") == name, F.transform(
-            F.array(*map(F.lit, words)), lambda x: F.size(F.filter("common", lambda w: w == x)).cast("long"))).otherwise(hits)
+    # Without each word in turn: what is missing then is how often it stands there.
+    hits = F.transform(_of_language(common, "array<string>"), lambda x: (
+        F.size("common") - F.size(F.array_remove("common", x))).cast("long"))
     counted = rows.select(
         "doc_id", "lang", "n_words", F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.length("text").cast("long").alias("n_chars"),
@@ -96,21 +96,31 @@ def base_counts(docs: DataFrame, common: dict[str, list[str]] | None = None) ->
                               - F.col("n_digits") - F.col("n_marks"))
 
 
+def _of_language(values: dict, kind: str) -> Column:
+    """The value of a row's language, null where it has none."""
+    if not values:
+        return F.lit(None).cast(kind)
+    lit = lambda v: F.array(*map(F.lit, v)) if isinstance(v, list) else F.lit(v)
+    return F.try_element_at(F.create_map(*[x for name, v in sorted(values.items()) for x in (F.lit(name), lit(v))]), F.col("lang")).cast(kind)
+
+
 def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
-def distance(counts: Column, reference: list[float]) -> Column:
+def distance(counts: Column, reference: list[float] | Column) -> Column:
     """Jensen-Shannon distance, 0 to 1, of a histogram from a reference of shares; an empty one has none (null)."""
     total = F.aggregate(counts, F.lit(0).cast("double"), lambda s, x: s + x)
-    ref = F.array(*[F.lit(float(q)) for q in reference])
+    ref = reference if isinstance(reference, Column) else F.array(*[F.lit(float(q)) for q in reference])
 
     def part(p: Column, q: Column) -> Column:
         middle = (p + q) / 2
         return (F.when(p > 0, p * F.log2(p / middle)).otherwise(F.lit(0.0))
                 + F.when(q > 0, q * F.log2(q / middle)).otherwise(F.lit(0.0)))
 
-    terms = F.zip_with(counts, ref, lambda x, q: part(x / total, q))
+    # The shares first, each function's argument bound once: what is named here is computed wherever it stands.
+    shares = F.get(F.transform(F.array(total), lambda t: F.transform(counts, lambda x: x / t)), 0)
+    terms = F.zip_with(shares, ref, part)
     bits = F.aggregate(terms, F.lit(0.0), lambda s, x: s + x) / 2
     return F.when(total > 0, F.sqrt(F.greatest(bits, F.lit(0.0))))
 
@@ -152,18 +162,17 @@ def judge(counted: DataFrame, refs: dict[str, tuple[list[float], list[float]]])
     over that of a document without any common word. Histograms below the length guards, and the words of a document whose
     language is null or has no reference, say nothing.
     """
-    classes = F.array(*[F.col(c).cast("double") for c in CLASSES])
-    own_class, own_share, any_class = F.lit(None).cast("double"), F.lit(None).cast("double"), []
     counts = F.transform("hits", lambda x: x.cast("double"))
     rest = F.col("n_words") - F.aggregate(counts, F.lit(0.0), lambda s, x: s + x)
-    for name, (of_classes, of_words) in sorted(refs.items()):
-        own, bare = F.col("lang") == name, bare_distance(of_words)
-        any_class.append(distance(classes, of_classes))
-        own_class = F.when(own, any_class[-1]).otherwise(own_class)
-        if bare > 0:
-            own_share = F.when(own, distance(F.concat(counts, F.array(rest)), of_words) / bare).otherwise(own_share)
-    if any_class:
-        own_class = F.when(F.col("lang").isin(list(refs)), own_class).otherwise(F.array_min(F.array(*any_class)))
+    counted = counted.withColumns({"classes": F.array(*[F.col(c).cast("double") for c in CLASSES]), "counts": F.concat(counts, F.array(rest))})
+    classes = F.col("classes")
+    bare = {name: bare_distance(of_words) for name, (_, of_words) in refs.items()}
+    share = distance(F.col("counts"), _of_language({name: r[1] for name, r in refs.items()}, "array<double>"))
+    own_share = F.when(_of_language(bare, "double") > 0, share / _of_language(bare, "double"))
+    own_class = distance(classes, _of_language({name: r[0] for name, r in refs.items()}, "array<double>"))
+    if refs:
+        nearest = F.array_min(F.array(*[distance(classes, r[0]) for _, r in sorted(refs.items())]))
+        own_class = F.when(F.col("lang").isin(list(refs)), own_class).otherwise(nearest)
     judged = counted.withColumns({
         "base_failed": base_failed(),
         "class_distance": F.when(F.col("n_chars") >= MIN_CHARS, own_class),
