@@ -20,7 +20,7 @@ MAX_CLASS_DISTANCE = 0.3
 # The distance of words is judged as a share of the distance of a document without any common word.
 MAX_WORD_SHARE = 0.9
 # Common words of a language: those in the most of its documents of MIN_WORDS words or more; it has none below so many documents.
-COMMON_WORDS = 32
+COMMON_WORDS = 20
 MIN_LANGUAGE_DOCS = 20
 
 CLASSES = ("n_upper", "n_digits", "n_marks", "n_symbols", "n_space", "n_rest")
