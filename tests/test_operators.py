@@ -11,7 +11,7 @@ from treeshred.operators.merge import merge_texts
 from treeshred.operators.mining import corpus_of, mined, write_rules
 from treeshred.operators.numbering import number_within, previous_within
 from treeshred.plans.shredder import Shredder
-from treeshred.sources import captures, dictionaries as D
+from treeshred.sources import captures, dictionaries as D, rules as R
 from treeshred.sources.tables import TableSink
 from treeshred.streaming.ingest import start_ingest
 
@@ -91,14 +91,85 @@ def test_sink_appends_widens_and_repeats(spark, document, tmp_path):
     assert spark.table("sink_t.sourcefile").count() == 2
 
 
+def forget_done(spark, database):
+    """Leave the log as a run that stopped before its last line."""
+    log = f"{database}._ingest_log"
+    started = spark.table(log).where("state = 'started'").collect()
+    spark.sql(f"DROP TABLE {log}")
+    spark.createDataFrame(started, "ingest string, batch bigint, state string").write.saveAsTable(log)
+
+
 def test_interrupted_batch_adds_nothing_twice(spark, document, tmp_path):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS sink_r LOCATION '{tmp_path}/db'")
     sink = TableSink(spark, "sink_r")
-    job = Shredder(captures.read_pieces(spark, document('<proto name="p"><field name="x" show="1"/></proto>'), depth=2))
-    sink._log(7, "", "started")
-    sink.write(job.rows(), job.layers())  # what the lost run had written
-    sink.write(job.rows(), job.layers(), batch=7)
-    assert spark.table("sink_r.p").count() == 1
+    body = '<proto name="p"><field name="x" show="1"/></proto>'
+    jobs = [Shredder(captures.read_pieces(spark, document(*[body] * n, folder=str(n)) + f"/{n}", depth=2)) for n in (1, 2)]
+    sink.write(jobs[0].rows(), jobs[0].layers())
+    before = spark.table("sink_r.p").first()
+    sink.write(jobs[1].rows().where("number = 1"), jobs[1].layers(), batch=7)  # what the lost run had written
+    forget_done(spark, "sink_r")
+    sink.write(jobs[1].rows(), jobs[1].layers(), batch=7)
+    rows = spark.table("sink_r.p").collect()
+    assert len(rows) == 3 == len({r._id for r in rows}) and before in rows
+    for _ in range(2):  # without a number every write adds its rows
+        sink.write(jobs[0].rows(), jobs[0].layers())
+    assert spark.table("sink_r.p").count() == 5
+
+
+def test_readers_see_whole_versions_while_a_table_widens(spark, document, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS sink_v LOCATION '{tmp_path}/db'")
+    fields = R.literal_rows(spark, [("x", "u64", "BASE_DEC"), ("t", "bool", "BASE_NONE")], ["short_name", "cls", "base"])
+    seen = []
+
+    class Watched(TableSink):
+        def _publish(self, table, version, columns):
+            if table == "p" and version > 1:
+                seen.append([tuple(r) for r in spark.table("sink_v.p").select("x", "t").collect()])
+            super()._publish(table, version, columns)
+            if table == "p" and version > 1:
+                seen.append([tuple(r) for r in spark.table("sink_v.p").select("x", "t").collect()])
+
+    def job(x, t):
+        path = document(f'<proto name="p"><field name="x" show="{x}"/><field name="t" show="{t}"/></proto>', folder=f"{x}-{t}")
+        return Shredder(captures.read_pieces(spark, f"{path}/{x}-{t}", depth=2), fields)
+
+    sink = Watched(spark, "sink_v")
+    jobs = [job(1, 1), job(70000, 1), job(2, "soon")]
+    sink.write(jobs[0].rows(), jobs[0].layers(), batch=0)
+    old = spark.table("sink_v.p")
+    sink.write(jobs[1].rows(), jobs[1].layers(), batch=1)
+    assert [tuple(r) for r in old.select("x", "t").collect()] == [(1, True)]  # a plan made before still reads its version
+    sink.write(jobs[2].rows(), jobs[2].layers(), batch=2)
+    assert seen[:2] == [[(1, True)]] * 2
+    assert sorted(seen[2]) == [(1, True), (70000, True)] and sorted(seen[3]) == [(1, "1"), (70000, "1")]
+    assert sorted(map(tuple, spark.table("sink_v.p").select("x", "t").collect())) == [(1, "1"), (2, "soon"), (70000, "1")]
+    assert {t.name for t in spark.catalog.listTables("sink_v") if t.name.startswith("p__v")} == {"p__v2", "p__v3"}
+
+
+def test_columns_added_by_a_lost_run_are_taken(spark, document, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS sink_c LOCATION '{tmp_path}/db'")
+    sink = TableSink(spark, "sink_c")
+    jobs = []
+    for n, extra in (("a", ""), ("b", '<field name="y" show="new"/>')):
+        path = document(f'<proto name="p"><field name="x" show="{n}"/>{extra}</proto>', folder=n)
+        jobs.append(Shredder(captures.read_pieces(spark, f"{path}/{n}", depth=2)))
+    sink.write(jobs[0].rows(), jobs[0].layers(), batch=1)
+    spark.sql("ALTER TABLE sink_c.p__v1 ADD COLUMNS (y string)")
+    assert "y" not in spark.table("sink_c.p").columns
+    sink.write(jobs[1].rows(), jobs[1].layers(), batch=2)
+    assert sorted(map(tuple, spark.table("sink_c.p").select("x", "y").collect()), key=str) == [("a", None), ("b", "new")]
+
+
+def test_plain_tables_are_taken_over(spark, document, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS sink_o LOCATION '{tmp_path}/db'")
+    spark.sql("CREATE TABLE sink_o.p USING parquet AS SELECT 'old' AS _id, 5 AS x")
+    fields = R.literal_rows(spark, [("x", "u64", "BASE_DEC")], ["short_name", "cls", "base"])
+    job = Shredder(captures.read_pieces(spark, document('<proto name="p"><field name="x" show="70000"/></proto>'), depth=2), fields)
+    sink = TableSink(spark, "sink_o")
+    for _ in range(2):
+        sink.write(job.rows(), job.layers(), batch=3)
+    assert sorted(r.x for r in spark.table("sink_o.p").collect()) == [5, 70000]
+    assert [tuple(r) for r in spark.table("sink_o.p__v0").collect()] == [("old", 5)]
 
 
 def test_stream_equals_batch(spark, document, tmp_path):

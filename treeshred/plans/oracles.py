@@ -311,6 +311,8 @@ ORACLES: dict[str, str] = {
     "recursive_listing": "SELECT DISTINCT year(o_orderdate)::INT AS year FROM orders",
     "table_sink": f"""SELECT o_orderkey AS _number, {SRC} AS path, {SRC} || '/' || o_orderkey || '/3' AS parent_line,
         l_linenumber AS item, l_extendedprice AS line_price FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "table_widen": """SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN (o_orderkey % 100)::VARCHAR WHEN 1 THEN (o_orderkey + 5000000000)::VARCHAR
+        ELSE o_orderstatus END AS code FROM orders""",
     "stream_ingest": """SELECT o_orderkey AS _number, o_orderkey AS order_key, o_orderstatus AS order_status, o_totalprice AS order_total,
         o_orderpriority AS order_priority FROM orders""",
     "mine_includes": "SELECT doc_id, 1::BIGINT AS pos, '/src/epan/dissectors/' || source || '.h' AS unit FROM documents",

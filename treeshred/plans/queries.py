@@ -815,6 +815,23 @@ def table_sink(spark, sf_dir):
         "_number", "path", "parent_line", F.col("_value").cast("int").alias("item"), "line_price")
 
 
+@query
+def table_widen(spark, sf_dir):
+    """Three runs into one table whose column takes longer numbers, then words."""
+    sink, orders = new_sink(spark), O.read(spark, sf_dir, "orders")
+    kinds = R.literal_rows(spark, [("o.code", "u64", "BASE_DEC")], ["short_name", "cls", "base"])
+    key = F.col("o_orderkey")
+    for run, code in enumerate((key % 100, key + 5_000_000_000, F.col("o_orderstatus"))):
+        fields = F.array(O.leaf(node_type(0), "o.code", code.cast("string")))
+        pieces = orders.where(key % 3 == run).select(
+            F.lit("orders").alias("src"), key.alias("packet_no"), key.alias("number"), F.lit(None).cast("timestamp_ntz").alias("ts"),
+            F.lit(0).alias("gen_idx"), F.lit(1).alias("proto_idx"), F.lit(None).cast("bigint").alias("shift"),
+            O.branch(node_type(1), "o", None, fields).alias("proto"))
+        job = Shredder(pieces, kinds).staged()
+        sink.write(job.rows(), job.layers())
+    return spark.table(sink.name("o")).select(F.col("_number").alias("o_orderkey"), F.col("o_code").alias("code"))
+
+
 @query
 def stream_ingest(spark, sf_dir):
     """The same documents through a stream with a catch-up trigger."""
