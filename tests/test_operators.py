@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from treeshred.functions import values as V
 from treeshred.operators import schema as C
 from treeshred.operators.merge import merge_texts
-from treeshred.operators.mining import corpus_of, mined, write_rules
+from treeshred.operators.mining import corpus_of, mine, mined, read_corpus, write_rules, write_trace
 from treeshred.operators.numbering import number_within, previous_within
 from treeshred.plans.shredder import Shredder
 from treeshred.sources import captures, dictionaries as D, rules as R
@@ -223,3 +223,30 @@ def test_mining(spark, tmp_path):
     write_rules(rules, str(tmp_path / "rules"))
     back = spark.read.format("xml").option("rowTag", "prefix").load(str(tmp_path / "rules" / "prefix")).collect()
     assert [(r["_protocol"], r["_text"]) for r in back] == [('foo\\"x', "Len")]
+
+
+def test_mining_of_files(spark, tmp_path):
+    """A corpus on disk: a header of many sources, names that can't be told, files outside the two sub-trees."""
+    source = '#include "all.h"\nproto_register_protocol("L", "S", {name});\nproto_tree_add_text(t, v, 0, 1, "Own, \\"text\\" {n}", x);\n'
+    files = {f"epan/dissectors/packet-s{i}.c": source.format(name=name, n=i)
+             for i, name in enumerate(("NAME", "NAME", '"two"', "LOST", "LATE"))}
+    files["epan/dissectors/all.h"] = ('#define NAME "first"\n#define NAME "last"\nstatic char LATE[] = "late";\n'
+                                      'proto_tree_add_text(t, v, 0, 1, "Shared", x); proto_tree_add_text(t, v, 0, 1, "Shared", x);\n')
+    files["epan/dissectors/packet-s4.c"] += '#define LATE "own"\n'
+    files["plugins/deep/er/lost.c"] = 'proto_register_protocol("L", "S", LOST);\nproto_tree_add_text(t, v, 0, 1, "Nobody", x);\n'
+    files["other/packet-no.c"] = 'proto_register_protocol("L", "S", "no");\nproto_tree_add_text(t, v, 0, 1, "Outside", x);\n'
+    files["plugins/notes.txt"] = 'proto_register_protocol("L", "S", "txt");\n'
+    for name, text in files.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(text)
+    out = mine(read_corpus(spark, str(tmp_path)))
+    rules = out.rules.where("kind = 'constant'").collect()
+    shared = {r.protocol: r.seq.source[-4:] for r in rules if r.text == "Shared"}
+    assert shared == {"last": "s0.c", "two": "s2.c", "s3": "s3.c", "own": "s4.c"}
+    assert {r.protocol for r in rules if r.text.startswith("Own, ")} == {"last", "two", "s3", "own"} and len(rules) == 9
+    assert {(r.file.split("/")[-1], r.reason) for r in out.rejects.collect()} == {
+        (n, "unable to parse protocol name") for n in ("packet-s3.c", "lost.c")}
+    write_trace(out.trace, str(tmp_path / "trace"))
+    back = spark.read.options(header="true", escape='"').csv(str(tmp_path / "trace")).where("outcome = 'Constant'").collect()
+    assert sorted((r.file.split("/")[-1], r.text, r.n) for r in back) == sorted(
+        [("all.h", "Shared", "5")] * 2 + [(f"packet-s{i}.c", f'Own, \\"text\\" {i}', "1") for i in range(5)])

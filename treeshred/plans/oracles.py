@@ -372,6 +372,13 @@ ORACLES |= {
         UNION SELECT 'speculative', {NAMES}, text FROM guessed""",
     "mine_trace": f"""WITH {LINES_SQL}, {GUESSES} SELECT outcome, count(*) AS n FROM ruled GROUP BY 1
         UNION ALL SELECT 'Speculative', count(*) FROM guessed""",
+    "mine_written_trace": f"""WITH {LINES_SQL}, {GUESSES}
+        SELECT 'packet-d' || doc_id || '.c' AS unit, coalesce(rule_text, text) AS text, outcome, 1 AS n FROM ruled
+        UNION ALL SELECT g.unit, g.text, 'Speculative', 1 FROM guesses AS g WHERE g.unit LIKE '%.c'
+        UNION ALL SELECT g.unit, g.text, 'Speculative', c.n FROM guesses AS g
+          JOIN (SELECT source || '.h' AS unit, count(*) AS n FROM documents GROUP BY 1) AS c ON c.unit = g.unit""",
+    "mine_rejects": """SELECT doc_id, 'mining' AS stage, 'unable to parse protocol name' AS reason, 'warning' AS severity
+        FROM documents WHERE doc_id % 3 = 0 AND doc_id % 2 = 1""",
     "mine_literals": f"""WITH {LINES_SQL}, {GUESSES}
         SELECT 'packet-d' || doc_id || '.c' AS unit, 0 AS phase, pos::INT AS at_, text FROM ruled
         UNION ALL SELECT unit, 1, "at", text FROM guesses""",

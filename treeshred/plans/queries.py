@@ -872,20 +872,20 @@ def short_source(c: Column) -> Column:
 
 @query
 def mine_includes(spark, sf_dir):
-    found = G.included_headers(document_corpus(spark, sf_dir))
+    found = G.included_headers(G.scan(document_corpus(spark, sf_dir)))
     return found.select(short_source(F.col("source")).alias("doc_id"), "pos", "unit")
 
 
 @query
 def mine_names(spark, sf_dir):
-    corpus = document_corpus(spark, sf_dir)
-    names = G.protocol_names(corpus, G.source_units(corpus))
+    found = G.scan(document_corpus(spark, sf_dir))
+    names = G.protocol_names(found, G.source_units(found))
     return names.select(short_source(F.col("source")).alias("doc_id"), "protocols")
 
 
 @query
 def mine_definitions(spark, sf_dir):
-    return G.definitions(document_corpus(spark, sf_dir)).select("unit", "key", "value")
+    return G.definitions(G.scan(document_corpus(spark, sf_dir))).select("unit", "key", "value")
 
 
 def short_unit(c: Column) -> Column:
@@ -895,18 +895,18 @@ def short_unit(c: Column) -> Column:
 @query
 def mine_literals(spark, sf_dir):
     """Literals of both phases: format texts, and what may be one."""
-    return G.literals(document_corpus(spark, sf_dir)).select(short_unit(F.col("unit")).alias("unit"), "phase", F.col("at").alias("at_"), "text")
+    return G.literals(G.scan(document_corpus(spark, sf_dir))).select(short_unit(F.col("unit")).alias("unit"), "phase", F.col("at").alias("at_"), "text")
 
 
 @query
 def mine_classify(spark, sf_dir):
-    out = G.classify(G.literals(document_corpus(spark, sf_dir)))
+    out = G.classify(G.literals(G.scan(document_corpus(spark, sf_dir))))
     return out.select(short_unit(F.col("unit")).alias("unit"), "phase", F.col("at").alias("at_"), "text", "outcome", "rule_text")
 
 
 @query
 def mine_speculative(spark, sf_dir):
-    lits = G.literals(document_corpus(spark, sf_dir)).where("phase = 1")
+    lits = G.literals(G.scan(document_corpus(spark, sf_dir))).where("phase = 1")
     return lits.select(F.regexp_extract("unit", "([^/]+)$", 1).alias("unit"), "at", "text")
 
 
@@ -919,7 +919,26 @@ def mine_dedupe(spark, sf_dir):
 @query
 def mine_trace(spark, sf_dir):
     _, trace = G.mined(document_corpus(spark, sf_dir))
-    return trace.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+    return trace.groupBy("outcome").agg(F.sum("n").alias("n"))
+
+
+@query
+def mine_written_trace(spark, sf_dir):
+    """The trace as written and read again: every literal with the number of sources that it speaks for."""
+    path = f"{staging_root(spark)}/trace-{spark.sparkContext.applicationId}-{len(_WRITTEN)}"
+    _WRITTEN.append(path)
+    G.write_trace(G.mine(document_corpus(spark, sf_dir)).trace, path)
+    back = spark.read.schema("file string, text string, outcome string, n bigint").options(
+        header="true", escape='"', multiLine="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path)
+    return back.select(short_unit(F.col("file")).alias("unit"), "text", "outcome", "n")
+
+
+@query
+def mine_rejects(spark, sf_dir):
+    """Sources whose protocol can't be named, in a corpus that lacks its headers."""
+    found = G.scan(document_corpus(spark, sf_dir).where(F.col("basename").endswith(".c")))
+    rejects = G.name_rejects(found, G.source_units(found))
+    return rejects.select(short_source(F.col("file")).alias("doc_id"), "stage", "reason", "severity")
 
 
 @query
