@@ -47,3 +47,74 @@ def captures(pattern: str | None, c: Column) -> list[tuple[str, Column]]:
         return []
     text = F.coalesce(c, F.lit(""))
     return [(key, F.regexp_extract(text, portable(pattern), i)) for i, key in groups(pattern)]
+
+
+LEAST_LITERAL = 3  # shorter ones stand in too many texts to tell anything
+
+
+def required_literal(pattern: str | None) -> str | None:
+    """Longest text that whatever a pattern finds must hold, or none where that can't be told.
+
+    Only plain characters outside of groups and classes count. Patterns with alternatives, flags, look-arounds
+    or character codes say nothing.
+    """
+    if not pattern or "|" in pattern or re.search(r"\(\?(?!:|<[A-Za-z_]|'[A-Za-z_])", pattern):
+        return None
+    runs, depth, at = [""], 0, 0
+    while at < len(pattern):
+        c = pattern[at]
+        at += 1
+        if c == "\\":
+            escaped = pattern[at:at + 1]
+            at += 1
+            if escaped and not escaped.isalnum():
+                if depth == 0:
+                    runs[-1] += escaped
+            elif escaped and escaped in "dDwWsSbBAzZtnrfaehHvVRG":
+                runs.append("")
+            else:
+                return None
+        elif c == "[":
+            end = re.compile(r"\^?(?:\\[^QE]|[^\[\]\\&])+\]").match(pattern, at)
+            if not end:
+                return None
+            at = end.end()
+            runs.append("")
+        elif c in "()":
+            depth += 1 if c == "(" else -1
+            runs.append("")
+        elif c in "*?{":
+            # The character before may be missing.
+            runs[-1] = runs[-1][:-1]
+            runs.append("")
+            if c == "{":
+                at = pattern.find("}", at) + 1
+                if at == 0:
+                    return None
+        elif c in "+.^$":
+            runs.append("")
+        elif depth == 0:
+            runs[-1] += c
+    longest = max(runs, key=len)
+    return longest if len(longest) >= LEAST_LITERAL else None
+
+
+def any_of(literals: list[str]) -> str:
+    """One pattern that finds any of many texts: their tree of prefixes, cut where a text ends."""
+    tree: dict = {}
+    for text in sorted(set(literals), key=len):
+        at = tree
+        for c in text[:-1]:
+            at = at.setdefault(c, {})
+            if at is None:
+                break  # holds a shorter one
+        else:
+            at[text[-1]] = None
+
+    def written(node: dict | None) -> str:
+        if node is None:
+            return ""
+        parts = [(c if c.isalnum() else "\\" + c) + written(below) for c, below in node.items()]
+        return parts[0] if len(parts) == 1 else "(?:" + "|".join(parts) + ")"
+
+    return written(tree)

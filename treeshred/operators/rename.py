@@ -59,18 +59,32 @@ def template_text(form: str | None, keys: list[tuple[str, Column]], as_name: boo
     if not form:
         return F.lit(None).cast("string")
     out = F.lit(form)
-    for key, value in keys:
+    # Until a slot of the form itself is filled there is nothing to fill; a filled text may bring slots of later keys.
+    first = next((i for i, (key, _) in enumerate(keys) if f"$({key})" in form), len(keys))
+    for key, value in keys[first:]:
         out = F.replace(out, F.lit(f"$({key})"), F.coalesce(value, F.lit("")))
     return N.template_name(out) if as_name else out
 
 
-def template_rename(df: DataFrame, templates: list[dict]) -> DataFrame:
-    """Every template is tried on the same input and the last match counts."""
-    fields = {"parentName": F.col("p_name"), "name": F.col("n_name"), "show": F.col("n_show"),
-              "showname": F.col("n_showname"), "value": F.col("n_value")}
+ANCHORS = ("show", "showname", "value", "name", "parentName")
+
+
+def anchor(rule: dict) -> tuple[str, str] | None:
+    """Field and text that a node must hold for a template to fit it: the longest that its patterns tell."""
+    told = [(key, R.required_literal(rule.get(key))) for key in ANCHORS]
+    told = [(key, text) for key, text in told if text]
+    return max(told, key=lambda t: len(t[1])) if told else None
+
+
+def template_choice(templates: list[dict], fields: dict[str, Column]) -> Column:
+    """Name and value by the last template that fits, as one flat CASE: the last template comes first."""
     chosen = F.lit(None).cast("struct<name:string,value:string>")
-    for rule in templates:
+    cases = None
+    for rule in reversed(templates):
         hit, keys = F.col("fresh"), []
+        held = anchor(rule)
+        if held:
+            hit = hit & F.contains(F.coalesce(fields[held[0]], F.lit("")), F.lit(held[1]))
         for key, column in fields.items():
             hit = hit & R.matches(rule.get(key), column)
             keys += R.captures(rule.get(key), column)
@@ -80,7 +94,27 @@ def template_rename(df: DataFrame, templates: list[dict]) -> DataFrame:
                  *[(k, fields[k]) for k in ("name", "show", "showname", "value")]]
         made = F.struct(template_text(rule.get("nameFormat"), keys, True).alias("name"),
                         template_text(rule.get("valueFormat"), keys, False).alias("value"))
-        chosen = F.when(hit, made).otherwise(chosen)
+        cases = F.when(hit, made) if cases is None else cases.when(hit, made)
+    return chosen if cases is None else cases.otherwise(chosen)
+
+
+def template_rename(df: DataFrame, templates: list[dict]) -> DataFrame:
+    """The last template that fits a node counts.
+
+    Most templates name a text that a node must hold. One pattern over all these texts tells the nodes that need
+    a look at such templates; the others meet only those that name no text.
+    """
+    fields = {"parentName": F.col("p_name"), "name": F.col("n_name"), "show": F.col("n_show"),
+              "showname": F.col("n_showname"), "value": F.col("n_value")}
+    anchors = [held for rule in templates if (held := anchor(rule))]
+    possible = F.lit(False)
+    for key in ANCHORS:
+        texts = [text for field_, text in anchors if field_ == key]
+        if texts:
+            possible = possible | F.coalesce(fields[key], F.lit("")).rlike(R.any_of(texts))
+    chosen = template_choice([rule for rule in templates if not anchor(rule)], fields)
+    if anchors:
+        chosen = F.when(F.col("fresh") & possible, template_choice(templates, fields)).otherwise(chosen)
     df = df.withColumn("n_t", chosen)
     templated = F.col("n_t.name").isNotNull() | F.col("n_t.value").isNotNull()
     hit = templated | F.col("n_hit")
