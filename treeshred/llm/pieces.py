@@ -13,8 +13,8 @@ import numpy as np
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 LETTER, NUMBER, SPACE, OTHER = range(4)
 # A Python worker lives on through all stages of a job, and so does its cache.
-MAX_CACHED_PIECES = 100_000
-MAX_CACHED_IDS = 2_000_000
+MAX_CACHED_PIECES = 200_000
+MAX_CACHED_IDS = 4_000_000
 
 
 @lru_cache(maxsize=1)
@@ -116,6 +116,8 @@ def _contractions(codes: np.ndarray, start: np.ndarray, first: np.ndarray, n: in
 class PieceEncoder:
     """Ids of whole texts from ids of their pieces. ``encode`` gives the ids of pieces not seen lately.
 
+    Ids are cached in two generations: frequent pieces outlive the many that a text brings once.
+
     ``special`` maps strings that are cut out of a text first and have one id.
     """
 
@@ -123,6 +125,7 @@ class PieceEncoder:
                  most: int = MAX_CACHED_PIECES):
         self.encode, self.special, self.table, self.most = encode, special, table, most
         self._clear()
+        self.before = {}, self.begin, self.length, self.flat
 
     def _clear(self) -> None:
         self.index: dict[str, int] = {}
@@ -132,6 +135,19 @@ class PieceEncoder:
         if self.special:
             self._add(list(self.special), [[i] for i in self.special.values()])
 
+    def _turn(self) -> None:
+        """Begin a new generation. What is used again comes over from the one before, the rest goes with it."""
+        before = self.index, self.begin, self.length, self.flat[:self.used].copy()
+        self._clear()
+        self.before = before
+
+    def _kept(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of pieces from the generation before, or else encoded."""
+        index, begin, length, flat = self.before
+        at = list(map(index.get, pieces))
+        made = iter(self.encode([p for p, i in zip(pieces, at) if i is None]))
+        return [next(made) if i is None else flat[begin[i]:begin[i] + length[i]].tolist() for i in at]
+
     def _add(self, pieces: list[str], ids: list[list[int]]) -> None:
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         total = int(lengths.sum())
@@ -159,14 +175,15 @@ class PieceEncoder:
 
     def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order, and where each text's ids begin (one more entry at the end)."""
-        if self.size > self.most or self.used > MAX_CACHED_IDS:
-            self._clear()
+        # Two generations share the bounds.
+        if self.size > self.most // 2 or self.used > MAX_CACHED_IDS // 2:
+            self._turn()
         parts, counts = self.segments(texts)
         pieces, per_part = split_pieces(parts, self.table, frozenset(self.special))
         found = list(map(self.index.get, pieces))
         new = list(dict.fromkeys([p for p, i in zip(pieces, found) if i is None]))
         if new:
-            self._add(new, self.encode(new))
+            self._add(new, self._kept(new))
             found = list(map(self.index.__getitem__, pieces))
         at = np.array(found, np.int64)
         length = self.length[at]
