@@ -20,7 +20,9 @@ def merge_texts(df: DataFrame, keys: list[str], seq: str, columns: list[str]) ->
     The first non-blank text stands; a later text that differs from the text
     merged so far is appended. Repeats of the first text ahead of the first
     different one are dropped map-side, so the list folded per key is no
-    longer than the text it produces.
+    longer than the text it produces. Once the merged text is longer than
+    every text in the list none of them can equal it, so the rest is
+    appended at once: the work of a key follows the size of its texts.
     """
     at = F.col(seq)
     firsts = df.groupBy(*keys).agg(*[
@@ -30,17 +32,26 @@ def merge_texts(df: DataFrame, keys: list[str], seq: str, columns: list[str]) ->
     changed = known.groupBy(*keys).agg(*[
         F.min(F.when((at > F.col(f"_f_{c}.at")) & differs(F.col(c), F.col(f"_f_{c}.t")), at)).alias(f"_d_{c}")
         for c in columns])
+    later = lambda c: F.col(c).isNotNull() & (at >= F.col(f"_d_{c}"))
     lists = known.join(changed, keys).groupBy(*keys).agg(*[
-        F.sort_array(F.collect_list(F.when(F.col(c).isNotNull() & (at >= F.col(f"_d_{c}")),
-                                           F.struct(at.alias("at"), F.col(c).alias("t"))))).alias(f"_l_{c}")
-        for c in columns], *[F.first(f"_f_{c}.t").alias(f"_s_{c}") for c in columns])
+        F.sort_array(F.collect_list(F.when(later(c), F.struct(at.alias("at"), F.col(c).alias("t"))))).alias(f"_l_{c}")
+        for c in columns], *[F.first(f"_f_{c}.t").alias(f"_s_{c}") for c in columns],
+        *[F.max(F.when(later(c), F.length(F.lower(c)))).alias(f"_m_{c}") for c in columns])
 
     def fold(c: str) -> Column:
-        start = F.coalesce(F.col(f"_s_{c}"), F.lit(""))
+        """struct(text, n): the text merged from the first ``n`` of the list, up to where it is longer than any of them."""
+        start = F.struct(F.coalesce(F.col(f"_s_{c}"), F.lit("")).alias("text"), F.lit(0).alias("n"))
         return F.aggregate(f"_l_{c}", start, lambda acc, x: F.when(
-            differs(x["t"], acc), F.concat(acc, F.lit(JOINER), x["t"])).otherwise(acc))
+            F.length(acc["text"]) > F.col(f"_m_{c}"), acc).otherwise(F.struct(
+                F.when(differs(x["t"], acc["text"]), F.concat(acc["text"], F.lit(JOINER), x["t"])).otherwise(acc["text"]).alias("text"),
+                (acc["n"] + 1).alias("n"))))
 
-    return lists.select(*keys, *[fold(c).alias(c) for c in columns])
+    def joined(c: str) -> Column:
+        rest = F.slice(f"_l_{c}", F.col(f"_b_{c}.n") + 1, F.size(f"_l_{c}"))
+        return F.array_join(F.concat(F.array(f"_b_{c}.text"), F.transform(rest, lambda x: x["t"])), JOINER)
+
+    begun = lists.select("*", *[fold(c).alias(f"_b_{c}") for c in columns])
+    return begun.select(*keys, *[joined(c).alias(c) for c in columns])
 
 
 def reject_rows(df: DataFrame, stage: str, reason: Column) -> DataFrame:
