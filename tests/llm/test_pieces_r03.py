@@ -17,3 +17,18 @@ def test_frequent_pieces_outlive_those_that_come_once():
         assert ids.tolist() == [ord(c) for c in text] and bounds.tolist() == [0, len(text)]
     assert asked.count("often") == 1 and len(asked) == 181
     assert len(encoder.index) <= 20
+
+
+def test_known_pieces_are_looked_up_once():
+    again = []
+
+    class Index(dict):
+        def __getitem__(self, piece):
+            again.append(piece)
+            return super().__getitem__(piece)
+
+    encoder = pieces.PieceEncoder(lambda parts: [[ord(c) for c in p] for p in parts], {}, pieces.classes(pieces.packed_classes()))
+    encoder.ids(["one two three"])
+    encoder.index = Index(encoder.index)
+    text = "one two three four"
+    assert encoder.ids([text])[0].tolist() == [ord(c) for c in text] and again == [" four"]

@@ -6,6 +6,7 @@ import unicodedata
 import zlib
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import chain, compress, repeat
 
 import numpy as np
 
@@ -133,7 +134,7 @@ class PieceEncoder:
         self.begin, self.length = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.flat = np.zeros(4096, np.uint32)
         if self.special:
-            self._add(list(self.special), [[i] for i in self.special.values()])
+            self._add(list(self.special), np.ones(len(self.special), np.int64), np.array(list(self.special.values()), np.uint32))
 
     def _turn(self) -> None:
         """Begin a new generation. What is used again comes over from the one before, the rest goes with it."""
@@ -141,25 +142,29 @@ class PieceEncoder:
         self._clear()
         self.before = before
 
-    def _kept(self, pieces: list[str]) -> list[list[int]]:
-        """Ids of pieces from the generation before, or else encoded."""
+    def _learn(self, pieces: list[str]) -> None:
+        """Add pieces with their ids from the generation before, or else encoded."""
         index, begin, length, flat = self.before
-        at = list(map(index.get, pieces))
-        made = iter(self.encode([p for p, i in zip(pieces, at) if i is None]))
-        return [next(made) if i is None else flat[begin[i]:begin[i] + length[i]].tolist() for i in at]
-
-    def _add(self, pieces: list[str], ids: list[list[int]]) -> None:
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        total = int(lengths.sum())
-        while self.size + len(ids) > len(self.begin):
+        at = np.fromiter(map(index.get, pieces, repeat(-1)), np.int64, len(pieces))
+        known = at >= 0
+        if known.any():
+            lengths = length[at[known]]
+            self._add(list(compress(pieces, known.tolist())), lengths, _gather(flat, begin[at[known]], lengths))
+            pieces = list(compress(pieces, (~known).tolist()))
+        ids = self.encode(pieces)
+        self._add(pieces, np.fromiter(map(len, ids), np.int64, len(ids)), np.fromiter(chain.from_iterable(ids), np.uint32))
+
+    def _add(self, pieces: list[str], lengths: np.ndarray, ids: np.ndarray) -> None:
+        total = len(ids)
+        while self.size + len(pieces) > len(self.begin):
             self.begin, self.length = np.resize(self.begin, 2 * len(self.begin)), np.resize(self.length, 2 * len(self.length))
         while self.used + total > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
-        self.length[self.size:self.size + len(ids)] = lengths
-        self.begin[self.size:self.size + len(ids)] = self.used + np.cumsum(lengths) - lengths
-        self.flat[self.used:self.used + total] = np.fromiter((x for one in ids for x in one), np.uint32, total)
-        self.index.update(zip(pieces, range(self.size, self.size + len(ids))))
-        self.size, self.used = self.size + len(ids), self.used + total
+        self.length[self.size:self.size + len(pieces)] = lengths
+        self.begin[self.size:self.size + len(pieces)] = self.used + np.cumsum(lengths) - lengths
+        self.flat[self.used:self.used + total] = ids
+        self.index.update(zip(pieces, range(self.size, self.size + len(pieces))))
+        self.size, self.used = self.size + len(pieces), self.used + total
 
     def segments(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """Texts cut at special strings, and the number of segments of each."""
@@ -180,20 +185,26 @@ class PieceEncoder:
             self._turn()
         parts, counts = self.segments(texts)
         pieces, per_part = split_pieces(parts, self.table, frozenset(self.special))
-        found = list(map(self.index.get, pieces))
-        new = list(dict.fromkeys([p for p, i in zip(pieces, found) if i is None]))
-        if new:
-            self._add(new, self._kept(new))
-            found = list(map(self.index.__getitem__, pieces))
-        at = np.array(found, np.int64)
+        at = np.fromiter(map(self.index.get, pieces, repeat(-1)), np.int64, len(pieces))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            # Only what was missing is looked up again.
+            late = list(map(pieces.__getitem__, missing.tolist()))
+            self._learn(list(dict.fromkeys(late)))
+            at[missing] = np.fromiter(map(self.index.__getitem__, late), np.int64, len(late))
         length = self.length[at]
         ends = np.cumsum(length)
-        total = int(ends[-1]) if len(ends) else 0
-        out = self.flat[np.repeat(self.begin[at] - ends + length, length) + np.arange(total)]
+        out = _gather(self.flat, self.begin[at], length)
         piece_bounds = np.concatenate(([0], np.cumsum(per_part)))[np.concatenate(([0], np.cumsum(counts)))]
         return out, np.concatenate(([0], ends))[piece_bounds]
 
 
+def _gather(flat: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Runs of ``flat``, one after the other."""
+    ends = np.cumsum(length)
+    return flat[np.repeat(begin - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 def _around(text: str, mark: str) -> list[str]:
     parts = text.split(mark)
     return [y for x in parts[:-1] for y in (x, mark)] + parts[-1:]

@@ -7,6 +7,7 @@ import os
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import public_tokenizers
@@ -45,8 +46,11 @@ def _library_encoder(file, packed: bytes) -> tuple[PieceEncoder, int]:
         model = tokenizer.model
 
         def pieces(new: list[str]) -> list[list[int]]:
-            return [[t.id for t in model.tokenize(p.encode("utf-8", "surrogatepass").decode("latin-1").translate(letters))]
-                    for p in new]
+            # All pieces become letters at once, one for each byte.
+            sizes = [len(p) if p.isascii() else len(p.encode("utf-8", "surrogatepass")) for p in new]
+            text = "".join(new).encode("utf-8", "surrogatepass").decode("latin-1").translate(letters)
+            ends = list(accumulate(sizes))
+            return [[t.id for t in model.tokenize(text[a:b])] for a, b in zip([0, *ends], ends)]
 
         special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
         _LOADED[key] = PieceEncoder(pieces, special, classes(packed), MAX_CACHED_PIECES), tokenizer.get_vocab_size()
