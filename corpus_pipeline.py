@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from treeshred.llm import bpe, exact_dedup, mixing, near_dup, quality
+from treeshred.llm.common import rows_per_batch
 from treeshred.session import stage
 
+BATCH_ROWS = 2000
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts.
@@ -62,6 +65,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to documents; what each one keeps is written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+    # Whole texts go to Python: smaller batches, so that memory beside the heap stays small in every task.
+    with rows_per_batch(spark, BATCH_ROWS):
+        for name, step in STAGES[:-1]:
+            docs = stage(step(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeshred.llm.common import chunks, plain, read_documents, text_column
+from treeshred.llm.common import TEXT_ROWS, chunks, plain, read_documents, text_column
 from treeshred.llm.pieces import PieceEncoder, classes, packed_classes
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -111,11 +111,13 @@ def shared_file(spark: SparkSession, path: str):
 def _encoded(batches: Iterator[pa.RecordBatch], file, packed: bytes):
     """(batch, row range, ids, bounds, table) for parts of each batch."""
     table, encoder = load(file, packed)
-    for batch in batches:
-        texts = [t or "" for t in text_column(batch)]
-        for a, b in chunks(texts):
-            ids, bounds = encoder.ids(texts[a:b])
-            yield batch.slice(a, b - a), ids, bounds.tolist(), table
+    for whole in batches:
+        for at in range(0, whole.num_rows, TEXT_ROWS):
+            batch = whole.slice(at, TEXT_ROWS)
+            texts = [t or "" for t in text_column(batch)]
+            for a, b in chunks(texts):
+                ids, bounds = encoder.ids(texts[a:b])
+                yield batch.slice(a, b - a), ids, bounds.tolist(), table
     pa.default_memory_pool().release_unused()
 
 

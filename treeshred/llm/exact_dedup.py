@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeshred.llm.common import fold, plain, read_documents, text_column, without_marked
+from treeshred.llm.common import each_text, fold, plain, read_documents, without_marked
 from treeshred.session import stage
 
 BLOCK_BYTES = 512
@@ -28,7 +28,7 @@ def _cut(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.Rec
                         ("sha", pa.binary()), ("item", pa.binary())])
     for batch in batches:
         ids, rows = batch.column(0).to_pylist(), []
-        for doc_id, text in zip(ids, text_column(batch)):
+        for doc_id, text in zip(ids, each_text(batch)):
             data = fold(text)
             sha = hashlib.sha256(data).digest()
             k1, k2 = np.frombuffer(sha[:16], "<i8").tolist()

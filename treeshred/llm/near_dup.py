@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeshred.llm.common import checked_broadcast, fold, plain, read_documents, rows_per_batch, text_column, without_marked
+from treeshred.llm.common import checked_broadcast, each_text, fold, plain, read_documents, rows_per_batch, text_column, without_marked
 from treeshred.llm.components import components
 from treeshred.session import stage
 
@@ -84,7 +84,7 @@ def _sketches(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Reco
     known = _WordHashes()
     for batch in batches:
         n, h1, h2, sigs = [], [], [], []
-        for text in text_column(batch):
+        for text in each_text(batch):
             if len(known) > MAX_CACHED_WORDS:
                 known.clear()
             shingles = shingle_hashes(text, words, known)
@@ -193,7 +193,7 @@ def _rare_pairs(members: DataFrame, classes: DataFrame, docs: DataFrame, words:
     def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _WordHashes()
         for batch in batches:
-            for rid, text in zip(batch.column(0).to_pylist(), text_column(batch)):
+            for rid, text in zip(batch.column(0).to_pylist(), each_text(batch)):
                 if len(known) > MAX_CACHED_WORDS:
                     known.clear()
                 found = shingle_hashes(text, words, known).view(np.int64)
