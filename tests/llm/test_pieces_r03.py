@@ -32,3 +32,19 @@ def test_known_pieces_are_looked_up_once():
     encoder.index = Index(encoder.index)
     text = "one two three four"
     assert encoder.ids([text])[0].tolist() == [ord(c) for c in text] and again == [" four"]
+
+
+def test_a_piece_is_looked_up_once_for_all_its_places():
+    asked = []
+
+    class Index(dict):
+        def get(self, piece, *default):
+            asked.append(piece)
+            return super().get(piece, *default)
+
+    encoder = pieces.PieceEncoder(lambda parts: [[ord(c) for c in p] for p in parts], {}, pieces.classes(pieces.packed_classes()))
+    encoder.index = Index(encoder.index)
+    texts = ["é one one", "", " one\U0001F600 one \ud800 é é", "one"]
+    ids, bounds = encoder.ids(texts)
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [[ord(c) for c in t] for t in texts]
+    assert len(asked) == len(set(asked)) and asked.count(" one") == 1

@@ -9,6 +9,7 @@ from functools import lru_cache
 from itertools import chain, compress, repeat
 
 import numpy as np
+import pyarrow as pa
 
 # The Unicode white space characters.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -56,8 +57,8 @@ def classes(packed: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(packed), np.uint8)
 
 
-def split_pieces(texts: list[str], table: np.ndarray, whole: frozenset[str] = frozenset()) -> tuple[list[str], np.ndarray]:
-    """Pieces of all texts in order, and their number for each text.
+def split_pieces(texts: list[str], table: np.ndarray, whole: frozenset[str] = frozenset()) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct pieces of all texts, the place of each piece among them in order, and the number of pieces of each text.
 
     A piece is a contraction, or a run of letters, numbers or other
     characters with at most one space before it, or white space; white space
@@ -70,7 +71,7 @@ def split_pieces(texts: list[str], table: np.ndarray, whole: frozenset[str] = fr
     text = "".join(texts)
     n = len(text)
     if not n:
-        return [], np.zeros(len(texts), np.int64)
+        return [], np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
     kind = table[codes]
     space = kind == SPACE
@@ -93,8 +94,20 @@ def split_pieces(texts: list[str], table: np.ndarray, whole: frozenset[str] = fr
                 start[bounds[i] + 1:bounds[i + 1]] = False
     starts = np.flatnonzero(start)
     counts = np.diff(np.searchsorted(starts, bounds))
-    cuts = starts.tolist()
-    return [text[a:b] for a, b in zip(cuts, [*cuts[1:], n])], counts
+    distinct, places = _distinct(text, codes, np.append(starts, n))
+    return distinct, places, counts
+
+
+def _distinct(text: str, codes: np.ndarray, cuts: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """Distinct runs of a text between cuts, in order of their first place, and which of them each run is."""
+    n = len(cuts) - 1
+    runs = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(4 * cuts.astype(np.int64)), pa.py_buffer(codes)])
+    found = runs.dictionary_encode()
+    places = found.indices.to_numpy()
+    # Places are numbered as they first occur: a run is the first of its kind where the highest number so far goes up.
+    highest = np.maximum.accumulate(places)
+    first = np.flatnonzero(np.diff(highest, prepend=-1))
+    return [text[a:b] for a, b in zip(cuts[first].tolist(), cuts[first + 1].tolist())], places
 
 
 def _contractions(codes: np.ndarray, start: np.ndarray, first: np.ndarray, n: int) -> None:
@@ -184,14 +197,16 @@ class PieceEncoder:
         if self.size > self.most // 2 or self.used > MAX_CACHED_IDS // 2:
             self._turn()
         parts, counts = self.segments(texts)
-        pieces, per_part = split_pieces(parts, self.table, frozenset(self.special))
+        # Most pieces of a chunk repeat: only distinct ones become strings and are looked up.
+        pieces, places, per_part = split_pieces(parts, self.table, frozenset(self.special))
         at = np.fromiter(map(self.index.get, pieces, repeat(-1)), np.int64, len(pieces))
         missing = np.flatnonzero(at < 0)
         if len(missing):
             # Only what was missing is looked up again.
             late = list(map(pieces.__getitem__, missing.tolist()))
-            self._learn(list(dict.fromkeys(late)))
+            self._learn(late)
             at[missing] = np.fromiter(map(self.index.__getitem__, late), np.int64, len(late))
+        at = at[places]
         length = self.length[at]
         ends = np.cumsum(length)
         out = _gather(self.flat, self.begin[at], length)
