@@ -55,6 +55,23 @@ def previous_within(df: DataFrame, name: str, group: Sequence[str], bucket: Sequ
             .drop("_local", "_carried", *[f"_k_{k}" for k in keys]))
 
 
+def previous_small(df: DataFrame, name: str, group: Sequence[str], bucket: str, order: str, value: str) -> DataFrame:
+    """``previous_within`` for many groups that nearly all lie in their first slice, ``bucket`` 0; ``df`` is read twice.
+
+    Those are shuffled and sorted once, whole, with no join; groups that reach further slices, if there are any, are cut into them.
+    """
+    keys = [F.col(k).alias(f"_h_{k}") for k in group]
+    large = stage(df.where(F.col(bucket) != 0).select(*keys).distinct(), "large-groups")
+    whole = lambda rows: rows.withColumn(name, F.last(value, ignorenulls=True).over(
+        W.partitionBy(*group).orderBy(order).rowsBetween(W.unboundedPreceding, -1)))
+    if large.isEmpty():
+        return whole(df)
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in group])
+    large = broadcast_checked(large)
+    sliced = previous_within(df.join(large, same, "left_semi"), name, group, [bucket], order, value)
+    return whole(df.join(large, same, "left_anti")).unionByName(sliced)
+
+
 def number_small(df: DataFrame, name: str, group: Sequence[str], bucket: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """``number_within`` for many groups that are nearly all small.
 

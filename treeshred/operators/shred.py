@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import naming as N, render as X, values as V
 from .filters import FilterRules, keep_column, keep_table
-from .numbering import number_small, previous_within
+from .numbering import number_small, previous_small
 from .trees import BRANCH_NAMED, CARRIED
 
 ROW_KEY = ["src", "packet_no", "path"]
@@ -123,21 +123,25 @@ def stored(hits: Column) -> Column:
 
     Of binaries only a lone one is dropped (E13); repeated ones are a text like any other.
     """
-    lone = F.get(hits, F.lit(0))
-    many = F.size(hits) > 1
-    one = F.when(lone["sub"] != LONE_BINARY, lone)
-    return F.struct(
-        F.when(many, F.lit(V.ARRAY)).otherwise(one["kind"]).alias("kind"),
-        F.when(many, X.multi_text(F.transform(hits, lambda x: x["text"]))).otherwise(one["text"]).alias("text"),
-    )
+    def value(h: Column) -> Column:
+        lone = F.get(h, F.lit(0))
+        many = F.size(h) > 1
+        one = F.when(lone["sub"] != LONE_BINARY, lone)
+        return F.struct(
+            F.when(many, F.lit(V.ARRAY)).otherwise(one["kind"]).alias("kind"),
+            F.when(many, X.multi_text(F.transform(h, lambda x: x["text"]))).otherwise(one["text"]).alias("text"),
+        )
+
+    # The values are picked once and handed over: each use of them would pick them again.
+    return F.get(F.transform(F.array(hits), value), F.lit(0))
 
 
 def resolve_columns(rows: DataFrame) -> DataFrame:
     """``cols``: every stored column of the row as struct(column, kind, text)."""
     names = F.array_distinct(F.transform("cells", lambda x: x["esc"]))
     def one(c: Column) -> Column:
-        value = stored(picked(F.col("cells"), c))
-        return F.struct(c.alias("column"), value["kind"].alias("kind"), value["text"].alias("text"))
+        value = F.transform(F.array(stored(picked(F.col("cells"), c))), lambda v: F.struct(c.alias("column"), v["kind"].alias("kind"), v["text"].alias("text")))
+        return F.get(value, F.lit(0))
     return rows.withColumn("cols", F.filter(F.transform(names, one), lambda x: x["kind"].isNotNull())).drop("cells")
 
 
@@ -166,7 +170,7 @@ def layer_chain(layers: DataFrame, filters: FilterRules | None = None) -> DataFr
     """
     kept = F.when(keep_table(filters, F.col("table")), F.struct("at", "table"))
     sliced = layers.withColumns({"_slice": F.floor(F.col("at") / SLICE), "_kept": kept})
-    linked = previous_within(sliced, "_before", ["src", "packet_no"], ["_slice"], "at", "_kept")
+    linked = previous_small(sliced, "_before", ["src", "packet_no"], "_slice", "at", "_kept")
     return linked.select(F.col("src").alias("_src"), F.col("packet_no").alias("_packet"), F.col("at").alias("_layer"),
                          F.col("_before.at").alias("_at"), F.col("_before.table").alias("_table"))
 
